@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+None of the reports reads a stream: there is no watermark, event-time window
+or state in the analyses this library reproduces.  The cart "session" is a
+batch user x fiscal-week group (see ``plans.cart``).
+"""
