@@ -402,6 +402,12 @@ FROM lineitem"""
 BINDINGS["shipment"] = """
 SELECT DISTINCT l_orderkey * 2 + l_linenumber % 2 AS shipper_reference, l_shipdate AS ship_date FROM lineitem"""
 
+BINDINGS["v_ci_oi_resolution_report"] = """
+SELECT g.rental_begin_date, g.order_type, a.annotation_target_id AS replacement_booking_id,
+       cast(a.transaction_created as date) + 2 AS oi_resolution_date
+FROM yp_autumn_full a JOIN order_group_reservation g ON a.annotation_target_id = g.reservation_booking_id
+WHERE a.annotation_group = 'REPLACEMENT'"""
+
 
 def _refs(sql: str, names) -> list[str]:
     return [n for n in names if re.search(rf"\b{re.escape(n)}\b", sql)]

@@ -9,15 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import ageing
+from .plans import ageing, order_issues as oi, replacements as rp
 from .operators.seqlog import next_state
-from .sources.bindings import Warehouse
+from .sources.bindings import INTERNAL_DOMAIN, Warehouse
 
 # Fixed "today" for the two halves of the test data (events: Jan 2024;
 # orders: 1995-2001).  The analyses use CURRENT_DATE / getdate() instead.
 AS_OF_EVENTS = "2024-02-01"
 AS_OF_ORDERS = "2001-09-01"
 IDLE_SINCE = "2017-01-01"
+MIN_FISCAL_YEAR = 1997
+UNREPLACED_WEEK_FROM = "1999-05-10"
 
 
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
@@ -40,8 +42,102 @@ def q_idle_days(spark, sf_dir) -> DataFrame:
     return ageing.expand_days(ageing.idle_stretches(ns, IDLE_SINCE), wh.dates, AS_OF_EVENTS)
 
 
+def _refund_view(wh):
+    return oi.refund_delta(wh.financial_line_item, wh.fli_status_history, wh.invoice_order,
+                           wh.uc_orders, wh.order_group_reservation, wh.dates,
+                           internal_domain=INTERNAL_DOMAIN, min_fiscal_year=MIN_FISCAL_YEAR)
+
+
+def _order_issues(wh):
+    return oi.order_issues(wh.ogr_po, wh.yp_autumn_full, wh.order_group_reservation,
+                           wh.financial_line_item, wh.fli_status_history, _refund_view(wh))
+
+
+def _summary(wh):
+    return oi.issue_summary(oi.issue_rollup(_order_issues(wh)), wh.dates, wh.v_ot_orderdata)
+
+
+def q_refund_delta(spark, sf_dir):
+    return _refund_view(_wh(spark, sf_dir))
+
+
+def q_order_issues(spark, sf_dir):
+    return _order_issues(_wh(spark, sf_dir))
+
+
+def q_issue_rollup(spark, sf_dir):
+    return oi.issue_rollup(_order_issues(_wh(spark, sf_dir)))
+
+
+def q_issue_summary(spark, sf_dir):
+    return _summary(_wh(spark, sf_dir))
+
+
+def _loyalty(issue):
+    def q(spark, sf_dir):
+        wh = _wh(spark, sf_dir)
+        return oi.loyalty(_summary(wh), wh.order_group_reservation, issue=issue)
+    return q
+
+
+def q_unreplaced(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return oi.unreplaced_orders(wh.order_group_reservation, wh.yp_autumn_full, wh.dates,
+                                week_from=UNREPLACED_WEEK_FROM)
+
+
+def q_profile_contact(spark, sf_dir):
+    return oi.profile_contact_methods(_wh(spark, sf_dir).yp_autumn_full)
+
+
+def q_profile_coverage(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return oi.profile_coverage(wh.yp_autumn_full, wh.ogr_po)
+
+
+def q_profile_orders(spark, sf_dir):
+    return oi.profile_shipping_orders(_wh(spark, sf_dir).yp_autumn_full)
+
+
+def _issue_view(wh, variant):
+    return rp.issue_replacements(wh.ogr_po, wh.yp_autumn_full, wh.order_group_reservation,
+                                 wh.barcode_sku_style_type, variant=variant)
+
+
+def q_issue_replacements(spark, sf_dir):
+    return _issue_view(_wh(spark, sf_dir), "rpl")
+
+
+def q_same_style_share(spark, sf_dir):
+    return rp.same_style_share(_issue_view(_wh(spark, sf_dir), "style"), AS_OF_ORDERS)
+
+
+def q_recent_issues(spark, sf_dir):
+    return rp.recent_delivery_issues(_issue_view(_wh(spark, sf_dir), "style"), AS_OF_ORDERS)
+
+
+def q_replacement_weekday(spark, sf_dir):
+    return rp.replacement_by_weekday(_wh(spark, sf_dir).v_ci_oi_resolution_report, AS_OF_ORDERS)
+
+
 QUERIES = {
     "q_ageing_bins": q_ageing_bins,
     "q_next_state": q_next_state,
     "q_idle_days": q_idle_days,
+    "q_refund_delta": q_refund_delta,
+    "q_order_issues": q_order_issues,
+    "q_issue_rollup": q_issue_rollup,
+    "q_issue_summary": q_issue_summary,
+    "q_loyalty_all": _loyalty(None),
+    "q_loyalty_po": _loyalty("po"),
+    "q_loyalty_quality": _loyalty("quality"),
+    "q_loyalty_fit": _loyalty("fit"),
+    "q_unreplaced": q_unreplaced,
+    "q_profile_contact": q_profile_contact,
+    "q_profile_coverage": q_profile_coverage,
+    "q_profile_orders": q_profile_orders,
+    "q_issue_replacements": q_issue_replacements,
+    "q_same_style_share": q_same_style_share,
+    "q_recent_issues": q_recent_issues,
+    "q_replacement_weekday": q_replacement_weekday,
 }

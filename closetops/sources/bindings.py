@@ -614,3 +614,13 @@ class Warehouse:
         l = self.raw("lineitem")
         return l.select((F.col("l_orderkey") * 2 + F.col("l_linenumber") % 2).alias("shipper_reference"),
                         F.col("l_shipdate").alias("ship_date")).distinct()
+
+    @cached_property
+    def v_ci_oi_resolution_report(self) -> DataFrame:
+        """rpt.v_ci_oi_resolution_report: resolved issues with their replacement booking."""
+        a = self.yp_autumn_full.filter(F.col("annotation_group") == "REPLACEMENT")
+        g = self.order_group_reservation
+        x = a.join(g, a["annotation_target_id"] == g["reservation_booking_id"], "inner")
+        return x.select(g["rental_begin_date"], g["order_type"],
+                        a["annotation_target_id"].alias("replacement_booking_id"),
+                        F.date_add(F.to_date(a["transaction_created"]), 2).alias("oi_resolution_date"))
