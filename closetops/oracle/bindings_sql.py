@@ -408,6 +408,35 @@ SELECT g.rental_begin_date, g.order_type, a.annotation_target_id AS replacement_
 FROM yp_autumn_full a JOIN order_group_reservation g ON a.annotation_target_id = g.reservation_booking_id
 WHERE a.annotation_group = 'REPLACEMENT'"""
 
+BINDINGS["profitability_sku_monthly_revenue_cogs"] = f"""
+SELECT {_sku('l_partkey', 'p_size')} AS sku, p_brand AS style, {_order_type('o_orderpriority')} AS order_type,
+       d.fiscal_year AS fiscal_year_rbd, d.fiscal_month AS fiscal_month_rbd,
+       d.fiscal_month_start AS fiscal_month_start_rbd,
+       av.fiscal_year AS fiscal_year_avl, av.fiscal_month AS fiscal_month_avl,
+       av.fiscal_month_start AS fiscal_month_start_avl,
+       cast(p_retailprice as decimal(18,2)) AS cost, cast(p_size as bigint) AS current_total_units,
+       cast(sum(cast(l_extendedprice as decimal(18,2))) as decimal(18,2)) AS product_total_sku,
+       cast(sum(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(4,2))) as decimal(20,4))
+         AS queue_subscription_revenue_sku,
+       cast(sum(cast(l_extendedprice as decimal(18,2)) * cast(l_tax as decimal(4,2))) as decimal(20,4))
+         AS queue_ttb_revenue_sku,
+       count(*) AS total_booking,
+       cast(sum(cast(l_quantity as decimal(18,2))) as decimal(18,2)) AS queue_monthly_athome_days_sku
+FROM {_LINES} x
+JOIN dates d ON cast(x.l_shipdate as date) = d.asofdate
+JOIN (SELECT l_partkey AS fp, min(cast(l_shipdate as date)) AS first_day FROM lineitem GROUP BY l_partkey) f
+  ON x.l_partkey = f.fp
+JOIN dates av ON f.first_day = av.asofdate
+GROUP BY ALL"""
+
+BINDINGS["master_replenish_style"] = """
+SELECT DISTINCT p_brand AS style FROM part WHERE p_type = 'PROMO' AND p_size = 50"""
+
+BINDINGS["products_master"] = """
+SELECT p_brand AS model,
+       cast(CASE WHEN p_brand = 'Brand#13' AND p_size < 10 THEN 1 ELSE 0 END as bigint) AS is_replenishment_style
+FROM part"""
+
 
 def _refs(sql: str, names) -> list[str]:
     return [n for n in names if re.search(rf"\b{re.escape(n)}\b", sql)]

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import ageing, order_issues as oi, replacements as rp
+from .plans import ageing, order_issues as oi, replacements as rp, wcr
 from .operators.seqlog import next_state
 from .sources.bindings import INTERNAL_DOMAIN, Warehouse
 
@@ -120,6 +120,24 @@ def q_replacement_weekday(spark, sf_dir):
     return rp.replacement_by_weekday(_wh(spark, sf_dir).v_ci_oi_resolution_report, AS_OF_ORDERS)
 
 
+AVL_YEARS = (1995, 1996, 1997, 1998)
+MIN_AVL_YEAR = 1990
+
+
+def _cohort(wh):
+    rev = wcr.sku_month_revenue(wh.profitability_sku_monthly_revenue_cogs, wh.products, MIN_AVL_YEAR)
+    repl = wcr.replenishment_styles(wh.master_replenish_style, wh.products_master)
+    return wcr.sku_cohort(rev, repl, AVL_YEARS)
+
+
+def q_sku_cohort(spark, sf_dir):
+    return _cohort(_wh(spark, sf_dir))
+
+
+def q_wcr_cumulative(spark, sf_dir):
+    return wcr.wcr(_cohort(_wh(spark, sf_dir)))
+
+
 QUERIES = {
     "q_ageing_bins": q_ageing_bins,
     "q_next_state": q_next_state,
@@ -140,4 +158,6 @@ QUERIES = {
     "q_same_style_share": q_same_style_share,
     "q_recent_issues": q_recent_issues,
     "q_replacement_weekday": q_replacement_weekday,
+    "q_sku_cohort": q_sku_cohort,
+    "q_wcr_cumulative": q_wcr_cumulative,
 }

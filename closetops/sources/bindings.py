@@ -624,3 +624,54 @@ class Warehouse:
         return x.select(g["rental_begin_date"], g["order_type"],
                         a["annotation_target_id"].alias("replacement_booking_id"),
                         F.date_add(F.to_date(a["transaction_created"]), 2).alias("oi_resolution_date"))
+
+    # ------------------------------------------------------------- SKU month
+    @cached_property
+    def profitability_sku_monthly_revenue_cogs(self) -> DataFrame:
+        """rtrbi.profitability_sku_monthly_revenue_cogs: SKU x fiscal month x order type.
+
+        The rental month is the fiscal month of the ship date; the availability
+        month is the fiscal month of the part's first ship date.
+        """
+        x = self._lines()
+        cal = self.dates.select("asofdate", "fiscal_year", "fiscal_month", "fiscal_month_start")
+        rbd = F.to_date("l_shipdate")
+        first = (self.raw("lineitem").groupBy(F.col("l_partkey").alias("_fp"))
+                 .agg(F.min(F.to_date("l_shipdate")).alias("_first")))
+        avl = first.join(F.broadcast(cal.select(
+            F.col("asofdate").alias("_ad"), F.col("fiscal_year").alias("fiscal_year_avl"),
+            F.col("fiscal_month").alias("fiscal_month_avl"),
+            F.col("fiscal_month_start").alias("fiscal_month_start_avl"))), F.col("_first") == F.col("_ad"))
+        y = (x.join(F.broadcast(cal), rbd == F.col("asofdate"), "inner")
+             .join(avl, F.col("l_partkey") == F.col("_fp"), "inner"))
+        price = F.col("l_extendedprice").cast("decimal(18,2)")
+        return (y.groupBy(
+            sku_expr(F.col("l_partkey"), F.col("p_size")).alias("sku"),
+            F.col("p_brand").alias("style"),
+            order_type_expr(F.col("o_orderpriority")).alias("order_type"),
+            F.col("fiscal_year").alias("fiscal_year_rbd"),
+            F.col("fiscal_month").alias("fiscal_month_rbd"),
+            F.col("fiscal_month_start").alias("fiscal_month_start_rbd"),
+            "fiscal_year_avl", "fiscal_month_avl", "fiscal_month_start_avl",
+            F.col("p_retailprice").cast("decimal(18,2)").alias("cost"),
+            F.col("p_size").cast("bigint").alias("current_total_units"))
+            .agg(F.sum(price).cast("decimal(18,2)").alias("product_total_sku"),
+                 F.sum(price * F.col("l_discount").cast("decimal(4,2)")).cast("decimal(20,4)")
+                 .alias("queue_subscription_revenue_sku"),
+                 F.sum(price * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(20,4)")
+                 .alias("queue_ttb_revenue_sku"),
+                 F.count(F.lit(1)).alias("total_booking"),
+                 F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("decimal(18,2)")
+                 .alias("queue_monthly_athome_days_sku")))
+
+    @cached_property
+    def master_replenish_style(self) -> DataFrame:
+        p = self.raw("part").filter((F.col("p_type") == "PROMO") & (F.col("p_size") == 50))
+        return p.select(F.col("p_brand").alias("style")).distinct()
+
+    @cached_property
+    def products_master(self) -> DataFrame:
+        p = self.raw("part")
+        return p.select(F.col("p_brand").alias("model"),
+                        F.when((F.col("p_brand") == "Brand#13") & (F.col("p_size") < 10), 1)
+                        .otherwise(0).cast("bigint").alias("is_replenishment_style"))
