@@ -116,7 +116,7 @@ SELECT DISTINCT barcode, id AS unit_id FROM inventory_unit"""
 BINDINGS["pixel_raw2"] = """
 SELECT user_id AS uid,
        event_id % 40 AS browser_id,
-       'M' || cast(event_id % 200 as varchar) AS style_name,
+       'M' || cast((user_id * 7 + event_id % 3) % 200 as varchar) AS style_name,
        CASE WHEN event_type = 'purchase' THEN 'checkout_complete'
             WHEN event_type = 'click' THEN 'rezo_add_to_cart' ELSE event_type END AS action_type,
        ts AS datetime_cst,
@@ -124,14 +124,45 @@ SELECT user_id AS uid,
        CASE WHEN event_id % 2 = 0 THEN 'web' ELSE 'app' END AS log_source
 FROM events"""
 
-_CART_EVENTS = """(SELECT e.*, p.p_partkey, p.p_size FROM events e
-   JOIN part p ON e.event_id % 200 = p.p_partkey
+_CART_EVENTS = """(SELECT e.*, p.p_partkey, p.p_size, p.p_brand, p.p_type FROM events e
+   JOIN part p ON (e.user_id * 7 + e.event_id % 3) % 200 = p.p_partkey
    WHERE e.event_type IN ('click', 'purchase'))"""
 
 _LINES = """(SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
    JOIN part p ON l.l_partkey = p.p_partkey)"""
 
 BINDINGS["order_group_reservation"] = f"""
+SELECT * FROM line_bookings
+UNION ALL BY NAME
+SELECT 'E' || cast(event_id as varchar) AS reservation_booking_id,
+       (1000000000 + event_id) * 2 AS group_id,
+       1000000000 + event_id AS order_id,
+       user_id AS uid,
+       {_sku('p_partkey', 'p_size')} AS sku,
+       p_brand AS style,
+       'CLASSIC' AS order_type,
+       'RENTAL' AS merchandise_category,
+       ts AS order_datetime_est,
+       ts AS group_created_est,
+       ts AS reservation_created,
+       cast(ts as date) + cast(event_id % 5 + 10 as integer) AS rental_begin_date,
+       cast(ts as date) + cast(event_id % 5 + 10 + 3 as integer) AS rental_end_date,
+       cast(ts as date) + cast(event_id % 5 + 10 + event_id % 3 - 1 as integer) AS last_possible_begin_date,
+       event_id % 4 + 1 AS ups_ground_shipping_zone,
+       {_mail('user_id')} AS mail,
+       {_mail('user_id')} AS email,
+       {_ptype('p_brand')} AS type,
+       {_ptype('p_brand')} AS product_type,
+       {_barcode('user_id % 150', 'event_id % 4')} AS barcode,
+       'F' || 'E' || cast(event_id as varchar) AS fulfillment_id,
+       'DELIVERED' AS last_fulfillment_status,
+       'SHIPPED' AS last2nd_fulfillment_status,
+       cast(NULL as varchar) AS po_category,
+       cast(NULL as varchar) AS po_reason,
+       p_type AS sub_type
+FROM {_CART_EVENTS} WHERE event_type = 'purchase'"""
+
+BINDINGS["line_bookings"] = f"""
 SELECT {BOOKING_ID} AS reservation_booking_id,
        l_orderkey * 2 + l_linenumber % 2 AS group_id,
        l_orderkey AS order_id,
@@ -230,10 +261,10 @@ SELECT reservation_booking_id AS id, group_id AS order_group_id, uid, sku, merch
        rental_begin_date - 2 AS earliest_possible_begin_date,
        last_possible_begin_date,
        reservation_booking_id AS primary_booking_id
-FROM order_group_reservation
+FROM line_bookings
 UNION ALL
 SELECT 'E' || cast(event_id as varchar) AS id,
-       CASE WHEN event_type = 'purchase' THEN event_id ELSE 0 END AS order_group_id,
+       CASE WHEN event_type = 'purchase' THEN (1000000000 + event_id) * 2 ELSE 0 END AS order_group_id,
        user_id AS uid,
        {_sku('p_partkey', 'p_size')} AS sku,
        'RENTAL' AS merchandise_category,
@@ -353,7 +384,10 @@ SELECT 'M' || cast(p_partkey as varchar) AS style_name,
        cast(cast(p_retailprice as decimal(18,2)) + i * 10 + j * 5 as decimal(18,2)) AS price
 FROM part, (SELECT i, j FROM range(3) a(i), range(2) b(j)) g"""
 
-BINDINGS["browser_orders"] = "SELECT o_orderkey % 40 AS browser_id, o_orderkey AS order_id FROM orders"
+BINDINGS["browser_orders"] = """
+SELECT o_orderkey % 40 AS browser_id, o_orderkey AS order_id FROM orders
+UNION ALL
+SELECT event_id % 40 AS browser_id, 1000000000 + event_id AS order_id FROM events WHERE event_type = 'purchase'"""
 
 BINDINGS["shipping_method_time"] = """
 SELECT destination_zip_code, shipping_method_id, min(transit_days) AS transit_days FROM (

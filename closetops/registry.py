@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import ageing, order_issues as oi, replacements as rp, wcr
+from .plans import ageing, cart, order_issues as oi, replacements as rp, wcr
 from .operators.seqlog import next_state
 from .sources.bindings import INTERNAL_DOMAIN, Warehouse
 
@@ -138,6 +138,81 @@ def q_wcr_cumulative(spark, sf_dir):
     return wcr.wcr(_cohort(_wh(spark, sf_dir)))
 
 
+CART_LO, CART_HI = "2024-01-01", "2024-02-01"
+CONVERSION_LO, CONVERSION_HI = "2024-01-05", "2024-02-01"
+SWITCH_BEGIN_FROM = "2024-01-01"
+FIRST_LAST_LO, FIRST_LAST_HI = "2024-01-05", "2024-01-12"
+
+
+def _cart(wh):
+    return cart.cart_bookings(wh.reservation_booking, wh.users, wh.reservation_booking_detail,
+                              wh.order_group_reservation, wh.uc_orders, wh.products_master_iid,
+                              wh.size_scales, wh.product_prices, CART_LO, CART_HI)
+
+
+def _sessions(wh):
+    return cart.cart_sessions(_cart(wh), wh.dates)
+
+
+def q_cart_bookings(spark, sf_dir):
+    return _cart(_wh(spark, sf_dir))
+
+
+def q_cart_sessions(spark, sf_dir):
+    return _sessions(_wh(spark, sf_dir))
+
+
+def q_bookings_per_week(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.bookings_per_week(wh.reservation_booking, wh.dates)
+
+
+def q_cart_conversion(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.cart_conversion(_sessions(wh), cart.bookings_per_week(wh.reservation_booking, wh.dates),
+                                wh.dates, CONVERSION_LO, CONVERSION_HI)
+
+
+def q_log_coverage(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.log_coverage(_cart(wh), wh.products_master_iid, wh.pixel_raw2)
+
+
+def q_user_devices(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.user_devices(_sessions(wh), wh.pixel_raw2, wh.browser_device, wh.devices, wh.uc_orders)
+
+
+def q_session_devices(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.session_devices(_sessions(wh), wh.pixel_raw2, wh.browser_device, wh.devices)
+
+
+def q_first_last_device(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.first_last_device(_sessions(wh), wh.pixel_raw2, wh.browser_device, wh.devices,
+                                  FIRST_LAST_LO, FIRST_LAST_HI)
+
+
+def q_action_devices(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.action_devices(_sessions(wh), wh.pixel_raw2, wh.browser_device, wh.devices)
+
+
+def _switch(wh):
+    dc = cart.device_checkout(wh.browser_orders, wh.order_group_reservation, wh.reservation_booking,
+                              wh.browser_device, wh.devices, SWITCH_BEGIN_FROM)
+    return cart.device_switch(wh.pixel_raw2, wh.products_master_iid, dc, wh.browser_device, wh.devices)
+
+
+def q_device_switch(spark, sf_dir):
+    return _switch(_wh(spark, sf_dir))
+
+
+def q_device_switch_summary(spark, sf_dir):
+    return cart.device_switch_summary(_switch(_wh(spark, sf_dir)))
+
+
 QUERIES = {
     "q_ageing_bins": q_ageing_bins,
     "q_next_state": q_next_state,
@@ -160,4 +235,15 @@ QUERIES = {
     "q_replacement_weekday": q_replacement_weekday,
     "q_sku_cohort": q_sku_cohort,
     "q_wcr_cumulative": q_wcr_cumulative,
+    "q_cart_bookings": q_cart_bookings,
+    "q_cart_sessions": q_cart_sessions,
+    "q_bookings_per_week": q_bookings_per_week,
+    "q_cart_conversion": q_cart_conversion,
+    "q_log_coverage": q_log_coverage,
+    "q_user_devices": q_user_devices,
+    "q_session_devices": q_session_devices,
+    "q_device_switch": q_device_switch,
+    "q_device_switch_summary": q_device_switch_summary,
+    "q_first_last_device": q_first_last_device,
+    "q_action_devices": q_action_devices,
 }

@@ -84,6 +84,14 @@ def booking_id_expr() -> Column:
                        _s(F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date"))))
 
 
+def event_part_expr() -> Column:
+    """Part (model) an event refers to: each user browses three models."""
+    return (F.col("user_id") * 7 + F.col("event_id") % 3) % 200
+
+
+EVENT_ORDER_BASE = 1000000000
+
+
 def hours(n) -> Column:
     n = n if isinstance(n, Column) else F.lit(n)
     return F.make_dt_interval(F.lit(0), n.cast("int"))
@@ -158,7 +166,7 @@ class Warehouse:
         return e.select(
             F.col("user_id").alias("uid"),
             (F.col("event_id") % N_BROWSERS).alias("browser_id"),
-            F.concat(F.lit("M"), _s(F.col("event_id") % 200)).alias("style_name"),
+            F.concat(F.lit("M"), _s(event_part_expr())).alias("style_name"),
             (F.when(F.col("event_type") == "purchase", "checkout_complete")
              .when(F.col("event_type") == "click", "rezo_add_to_cart")
              .otherwise(F.col("event_type"))).alias("action_type"),
@@ -170,8 +178,8 @@ class Warehouse:
 
     def _cart_events(self) -> DataFrame:
         e = self.raw("events").filter(F.col("event_type").isin("click", "purchase"))
-        p = self.raw("part").select("p_partkey", "p_size")
-        return e.join(p, (F.col("event_id") % 200) == F.col("p_partkey"), "inner")
+        p = self.raw("part").select("p_partkey", "p_size", "p_brand", "p_type")
+        return e.join(p, event_part_expr() == F.col("p_partkey"), "inner")
 
     # -------------------------------------------------------------- lineitem
     def _lines(self) -> DataFrame:
@@ -184,7 +192,50 @@ class Warehouse:
 
     @cached_property
     def order_group_reservation(self) -> DataFrame:
-        """rtrbi.order_group_reservation (also analytics.ogr_po): one row per booking."""
+        """rtrbi.order_group_reservation (also analytics.ogr_po): one row per booking.
+
+        Bookings of order lines, plus one booking per purchase event (the
+        click log's checkouts), so click and order data meet.
+        """
+        return self._line_bookings.unionByName(self._event_bookings)
+
+    @cached_property
+    def _event_bookings(self) -> DataFrame:
+        c = self._cart_events().filter(F.col("event_type") == "purchase")
+        oid = F.lit(EVENT_ORDER_BASE) + F.col("event_id")
+        rbd = F.date_add(F.to_date("ts"), (F.col("event_id") % 5 + 10).cast("int"))
+        bid = F.concat(F.lit("E"), _s("event_id"))
+        return c.select(
+            bid.alias("reservation_booking_id"),
+            (oid * 2).alias("group_id"),
+            oid.alias("order_id"),
+            F.col("user_id").alias("uid"),
+            sku_expr(F.col("p_partkey"), F.col("p_size")).alias("sku"),
+            F.col("p_brand").alias("style"),
+            F.lit("CLASSIC").alias("order_type"),
+            F.lit("RENTAL").alias("merchandise_category"),
+            F.col("ts").alias("order_datetime_est"),
+            F.col("ts").alias("group_created_est"),
+            F.col("ts").alias("reservation_created"),
+            rbd.alias("rental_begin_date"),
+            F.date_add(rbd, 3).alias("rental_end_date"),
+            F.date_add(rbd, (F.col("event_id") % 3 - 1).cast("int")).alias("last_possible_begin_date"),
+            (F.col("event_id") % 4 + 1).alias("ups_ground_shipping_zone"),
+            mail_expr(F.col("user_id")).alias("mail"),
+            mail_expr(F.col("user_id")).alias("email"),
+            product_type_expr(F.col("p_brand")).alias("type"),
+            product_type_expr(F.col("p_brand")).alias("product_type"),
+            barcode_expr(F.col("user_id") % 150, F.col("event_id") % 4).alias("barcode"),
+            F.concat(F.lit("F"), bid).alias("fulfillment_id"),
+            F.lit("DELIVERED").alias("last_fulfillment_status"),
+            F.lit("SHIPPED").alias("last2nd_fulfillment_status"),
+            F.lit(None).cast("string").alias("po_category"),
+            F.lit(None).cast("string").alias("po_reason"),
+            F.col("p_type").alias("sub_type"),
+        )
+
+    @cached_property
+    def _line_bookings(self) -> DataFrame:
         x = self._lines()
         rbd = F.to_date("l_shipdate")
         ln = F.col("l_linenumber")
@@ -327,7 +378,7 @@ class Warehouse:
     @cached_property
     def reservation_booking(self) -> DataFrame:
         """etl.reservation_booking: order bookings (from lines) plus cart adds (from events)."""
-        ogr = self.order_group_reservation
+        ogr = self._line_bookings
         orders_rb = ogr.select(
             F.col("reservation_booking_id").alias("id"),
             F.col("group_id").alias("order_group_id"),
@@ -345,7 +396,8 @@ class Warehouse:
         d = F.to_date("ts")
         cart_rb = c.select(
             F.concat(F.lit("E"), _s("event_id")).alias("id"),
-            F.when(F.col("event_type") == "purchase", F.col("event_id")).otherwise(F.lit(0)).alias("order_group_id"),
+            F.when(F.col("event_type") == "purchase", (F.lit(EVENT_ORDER_BASE) + F.col("event_id")) * 2)
+            .otherwise(F.lit(0)).alias("order_group_id"),
             F.col("user_id").alias("uid"),
             sku_expr(F.col("p_partkey"), F.col("p_size")).alias("sku"),
             F.lit("RENTAL").alias("merchandise_category"),
@@ -535,9 +587,12 @@ class Warehouse:
 
     @cached_property
     def browser_orders(self) -> DataFrame:
-        o = self.raw("orders")
-        return o.select((F.col("o_orderkey") % N_BROWSERS).alias("browser_id"),
-                        F.col("o_orderkey").alias("order_id"))
+        o = self.raw("orders").select((F.col("o_orderkey") % N_BROWSERS).alias("browser_id"),
+                                      F.col("o_orderkey").alias("order_id"))
+        e = (self.raw("events").filter(F.col("event_type") == "purchase")
+             .select((F.col("event_id") % N_BROWSERS).alias("browser_id"),
+                     (F.lit(EVENT_ORDER_BASE) + F.col("event_id")).alias("order_id")))
+        return o.unionByName(e)
 
     # -------------------------------------------------------------- supplier
     @cached_property
