@@ -103,3 +103,22 @@ def last_k_by_seq(log: DataFrame, pointer: DataFrame, k: int = 2, key: str = "id
     p = pointer.select(F.col(ptr_key).alias("_pk"), F.col(ptr_seq).alias("last_seq"))
     cond = (log[key] == p["_pk"]) & log[seq].between(p["last_seq"] - (k - 1), p["last_seq"])
     return log.join(p, cond, "inner").drop("_pk")
+
+
+def row_number_within(df: DataFrame, keys: list[str], order: list, bucket: Column, out: str) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` without one window per key.
+
+    Rows are numbered inside (key, bucket) windows; each bucket's offset is the
+    number of rows of the key in earlier buckets, taken from a per-(key,
+    bucket) count (pre-aggregated) with a running sum over the key's buckets.
+    ``bucket`` must be non-decreasing in ``order``; ``order`` must be unique
+    within a key for a deterministic numbering.
+    """
+    b = "_rn_b"
+    x = df.withColumn(b, bucket)
+    inner = x.withColumn("_rn_in", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
+    counts = x.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_rn_n"))
+    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*keys, b, F.coalesce(F.sum("_rn_n").over(wb), F.lit(0)).alias("_rn_off"))
+    j = inner.join(offs, _null_safe_on(inner, offs, keys + [b]), "inner")
+    return j.select(*[inner[c] for c in df.columns], (offs["_rn_off"] + inner["_rn_in"]).alias(out))

@@ -157,9 +157,27 @@ SELECT 'E' || cast(event_id as varchar) AS reservation_booking_id,
        'F' || 'E' || cast(event_id as varchar) AS fulfillment_id,
        'DELIVERED' AS last_fulfillment_status,
        'SHIPPED' AS last2nd_fulfillment_status,
+       ts + to_hours(48) AS last_fulfillment_updated_on,
+       ts + to_hours(24) AS last2nd_fulfillment_updated_on,
        cast(NULL as varchar) AS po_category,
        cast(NULL as varchar) AS po_reason,
-       p_type AS sub_type
+       p_type AS sub_type,
+       cast((user_id) % 25 as varchar) AS billing_postal_code,
+       'payment_received' AS order_status,
+       date '1994-01-01' + cast((user_id) % 3000 as integer) AS user_create_date,
+       cast(((1000000000 + event_id) * 2) % 25 as varchar) AS delivery_postal_code,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) AS expected_begin_date,
+       (cast(ts as date) + cast(event_id % 5 + 13 as integer)) AS expected_end_date,
+       (cast(ts as date) + cast(event_id % 5 + 13 as integer)) AS actual_expected_end_date,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) - 2 AS earliest_possible_begin_date,
+       ('E' || cast(event_id as varchar)) AS primary_booking_id,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) - 2 AS customer_shipment_date,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) + 6 AS warehouse_received_date,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) + 8 AS item_available_date,
+       ((1000000000 + event_id) * 2) % 3 + 1 AS dresses_in_group,
+       (cast(ts as date) + cast(event_id % 5 + 10 as integer)) + 5 AS rf_end_date,
+       (event_id % 5) + 1 AS unit_usage_rank,
+       (event_id % 5) + 3 AS unit_total_usage
 FROM {_CART_EVENTS} WHERE event_type = 'purchase'"""
 
 BINDINGS["line_bookings"] = f"""
@@ -186,12 +204,31 @@ SELECT {BOOKING_ID} AS reservation_booking_id,
        'F' || {BOOKING_ID} AS fulfillment_id,
        {_status_at('l_orderkey % 3')} AS last_fulfillment_status,
        CASE WHEN 1 + l_orderkey % 3 > 1 THEN {_status_at('l_orderkey % 3 - 1')} END AS last2nd_fulfillment_status,
+       l_shipdate + to_hours(cast((l_orderkey % 3) * 30 + l_linenumber as bigint)) AS last_fulfillment_updated_on,
+       CASE WHEN 1 + l_orderkey % 3 > 1 THEN l_shipdate + to_hours(cast((l_orderkey % 3 - 1) * 30 + l_linenumber as bigint))
+            END AS last2nd_fulfillment_updated_on,
        CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'Warehouse'
             WHEN l_returnflag = 'R' THEN 'Predicted' END AS po_category,
        CASE WHEN l_returnflag = 'R' THEN
             CASE WHEN l_suppkey % 4 = 0 THEN 'Late delivery' WHEN l_suppkey % 4 = 1 THEN 'Item missing'
                  WHEN l_suppkey % 4 = 2 THEN 'Allogator mismatch' ELSE 'Predicted' END END AS po_reason,
-       p_type AS sub_type
+       p_type AS sub_type,
+       cast((o_custkey) % 25 as varchar) AS billing_postal_code,
+       'payment_received' AS order_status,
+       date '1994-01-01' + cast((o_custkey) % 3000 as integer) AS user_create_date,
+       cast((l_orderkey * 2 + l_linenumber % 2) % 25 as varchar) AS delivery_postal_code,
+       cast(l_shipdate as date) AS expected_begin_date,
+       (cast(l_shipdate as date) + cast(l_linenumber % 2 + 3 as integer)) AS expected_end_date,
+       (cast(l_shipdate as date) + cast(l_linenumber % 2 + 3 as integer)) AS actual_expected_end_date,
+       cast(l_shipdate as date) - 2 AS earliest_possible_begin_date,
+       {BOOKING_ID} AS primary_booking_id,
+       cast(l_shipdate as date) - 2 AS customer_shipment_date,
+       cast(l_shipdate as date) + 6 AS warehouse_received_date,
+       cast(l_shipdate as date) + 8 AS item_available_date,
+       (l_orderkey * 2 + l_linenumber % 2) % 3 + 1 AS dresses_in_group,
+       cast(l_shipdate as date) + 5 AS rf_end_date,
+       (l_suppkey % 5) + 1 AS unit_usage_rank,
+       (l_suppkey % 5) + 3 AS unit_total_usage
 FROM {_LINES}"""
 
 BINDINGS["ogr_po"] = "SELECT * FROM order_group_reservation"
@@ -237,9 +274,10 @@ FROM lineitem"""
 
 BINDINGS["fli_status_history"] = "SELECT id AS fli_id, status AS to_status FROM financial_line_item"
 
-BINDINGS["invoice_order"] = """
+BINDINGS["invoice_order"] = f"""
 SELECT DISTINCT l_orderkey * 10 + l_linenumber % 2 AS id, l_orderkey AS order_id,
-       l_linenumber % 2 AS seq, o_orderdate + to_days(cast(l_linenumber % 2 as integer)) AS created_at
+       l_linenumber % 2 AS seq, o_orderdate + to_days(cast(l_linenumber % 2 as integer)) AS created_at,
+       {_order_type('o_orderpriority')} AS order_type
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
 
 BINDINGS["invoice_group"] = """

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import ageing, cart, order_issues as oi, replacements as rp, wcr
+from .plans import (ageing, cart, leakage, order_issues as oi, problem_orders as po,
+                    replacements as rp, reservations as rs, tax, wcr)
 from .operators.seqlog import next_state
 from .sources.bindings import INTERNAL_DOMAIN, Warehouse
 
@@ -213,6 +214,121 @@ def q_device_switch_summary(spark, sf_dir):
     return cart.device_switch_summary(_switch(_wh(spark, sf_dir)))
 
 
+def _unit_loc(wh):
+    return rs.unit_location(wh.inventory_unit, wh.inventory_unit_seq)
+
+
+def _canceled_temp(wh):
+    return rs.reservation_fact(
+        wh.uc_orders, wh.users, wh.rtr_order_groups, wh.reservation_booking, wh.reservation_booking_detail,
+        wh.products_iid, wh.products, rs.last_two_status(wh.fulfillment, wh.fulfillment_seq),
+        rs.barcode_unit_match(wh.inventory_history), wh.reservation_fulfillment,
+        rs.transit_fallback(wh.shipping_method_time), wh.queue_rf_end_date_consolidation,
+        rs.unit_barcode_lookup(wh.inventory_unit), _unit_loc(wh))
+
+
+def _canceled(wh):
+    return rs.unit_usage(_canceled_temp(wh))
+
+
+def _extras(wh):
+    last = rs.last_two_status(wh.fulfillment, wh.fulfillment_seq, rb=wh.reservation_booking, extras_only=True)
+    return rs.reservation_extras(wh.order_group_reservation, last, wh.products_iid, wh.products,
+                                 rs.unit_barcode_lookup(wh.inventory_unit), _unit_loc(wh))
+
+
+def q_last_two_status(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return rs.last_two_status(wh.fulfillment, wh.fulfillment_seq)
+
+
+def q_transit_fallback(spark, sf_dir):
+    return rs.transit_fallback(_wh(spark, sf_dir).shipping_method_time)
+
+
+def q_unit_maps(spark, sf_dir):
+    return rs.barcode_unit_match(_wh(spark, sf_dir).inventory_history)
+
+
+def q_unit_lookup(spark, sf_dir):
+    return rs.unit_barcode_lookup(_wh(spark, sf_dir).inventory_unit)
+
+
+def q_unit_location(spark, sf_dir):
+    return _unit_loc(_wh(spark, sf_dir))
+
+
+def q_reservation_fact(spark, sf_dir):
+    return _canceled_temp(_wh(spark, sf_dir))
+
+
+def q_unit_usage(spark, sf_dir):
+    return _canceled(_wh(spark, sf_dir))
+
+
+def q_reservation_extras(spark, sf_dir):
+    return _extras(_wh(spark, sf_dir))
+
+
+def _po_classic(wh):
+    return po.problem_orders_classic(wh.autumn_report_raw_data, wh.products_master_iid, _extras(wh),
+                                     AS_OF_ORDERS, INTERNAL_DOMAIN)
+
+
+def _po_subscription(wh):
+    src = po.subscription_sources(_canceled(wh), wh.order_group_reservation, _extras(wh), AS_OF_ORDERS)
+    return po.problem_orders_subscription(src, wh.unlimited_po_sources, wh.products_master_iid,
+                                          AS_OF_ORDERS, INTERNAL_DOMAIN)
+
+
+def q_problem_orders_classic(spark, sf_dir):
+    return _po_classic(_wh(spark, sf_dir))
+
+
+def q_problem_orders_subscription(spark, sf_dir):
+    return _po_subscription(_wh(spark, sf_dir))
+
+
+def q_problem_orders(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return po.problem_orders(_po_classic(wh), _po_subscription(wh))
+
+
+LEAK_DETAIL_LO, LEAK_DETAIL_HI = "1998-01-25", "1998-02-21"
+LEAK_LO, LEAK_HI = "1998-01-01", "1998-05-31"
+LEAK_BEGIN_FROM = "1995-01-01"
+
+
+def q_leakage_detail(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    prof = leakage.order_profile(wh.invoice_order, wh.invoice_group, wh.invoice_booking,
+                                 wh.reservation_booking, wh.reservation_booking_detail)
+    return leakage.leakage_detail(wh.financial_line_item, prof, wh.showroom_order, wh.showroom,
+                                  LEAK_DETAIL_LO, LEAK_DETAIL_HI, LEAK_BEGIN_FROM)
+
+
+def _leak(grain):
+    def q(spark, sf_dir):
+        wh = _wh(spark, sf_dir)
+        return leakage.leakage_by_reason(wh.ow_transaction_summary, wh.financial_line_item, wh.v_ot_orderdata,
+                                         wh.dates, LEAK_LO, LEAK_HI, LEAK_BEGIN_FROM, grain)
+    return q
+
+
+def q_tax_entries(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return tax.tax_entries(wh.rtr_order_groups, wh.uc_zones, wh.order_group_reservation,
+                           wh.finance_current_view_inventory, wh.shipment, wh.dates)
+
+
+PREVIEW_ROWS = 200
+
+
+def q_preview(spark, sf_dir):
+    """First rows of the priced cart adds by booking id (a preview is a top-k)."""
+    return _cart(_wh(spark, sf_dir)).orderBy("id", "price").limit(PREVIEW_ROWS)
+
+
 QUERIES = {
     "q_ageing_bins": q_ageing_bins,
     "q_next_state": q_next_state,
@@ -246,4 +362,20 @@ QUERIES = {
     "q_device_switch_summary": q_device_switch_summary,
     "q_first_last_device": q_first_last_device,
     "q_action_devices": q_action_devices,
+    "q_last_two_status": q_last_two_status,
+    "q_transit_fallback": q_transit_fallback,
+    "q_unit_maps": q_unit_maps,
+    "q_unit_lookup": q_unit_lookup,
+    "q_unit_location": q_unit_location,
+    "q_reservation_fact": q_reservation_fact,
+    "q_unit_usage": q_unit_usage,
+    "q_reservation_extras": q_reservation_extras,
+    "q_problem_orders_classic": q_problem_orders_classic,
+    "q_problem_orders_subscription": q_problem_orders_subscription,
+    "q_problem_orders": q_problem_orders,
+    "q_leakage_detail": q_leakage_detail,
+    "q_leakage_calendar": _leak("calendar"),
+    "q_leakage_fiscal": _leak("fiscal"),
+    "q_tax_entries": q_tax_entries,
+    "q_preview": q_preview,
 }

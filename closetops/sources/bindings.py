@@ -229,9 +229,12 @@ class Warehouse:
             F.concat(F.lit("F"), bid).alias("fulfillment_id"),
             F.lit("DELIVERED").alias("last_fulfillment_status"),
             F.lit("SHIPPED").alias("last2nd_fulfillment_status"),
+            (F.col("ts") + hours(48)).alias("last_fulfillment_updated_on"),
+            (F.col("ts") + hours(24)).alias("last2nd_fulfillment_updated_on"),
             F.lit(None).cast("string").alias("po_category"),
             F.lit(None).cast("string").alias("po_reason"),
             F.col("p_type").alias("sub_type"),
+            *self._fact_extras(F.col("user_id"), oid * 2, rbd, F.date_add(rbd, 3), bid, F.col("event_id") % 5),
         )
 
     @cached_property
@@ -278,11 +281,38 @@ class Warehouse:
             F.concat(F.lit("F"), booking_id_expr()).alias("fulfillment_id"),
             status_at(last_i).alias("last_fulfillment_status"),
             F.when(n > 1, status_at(last_i - 1)).alias("last2nd_fulfillment_status"),
+            (F.col("l_shipdate") + hours(last_i * 30 + ln)).alias("last_fulfillment_updated_on"),
+            F.when(n > 1, F.col("l_shipdate") + hours((last_i - 1) * 30 + ln)).alias("last2nd_fulfillment_updated_on"),
             po_cat.alias("po_category"),
             po_reason.alias("po_reason"),
             F.col("p_type").alias("sub_type"),
+            *self._fact_extras(F.col("o_custkey"), F.col("l_orderkey") * 2 + ln % 2, rbd,
+                               F.date_add(rbd, (ln % 2 + 3).cast("int")), booking_id_expr(),
+                               F.col("l_suppkey") % 5),
         )
 
+    @staticmethod
+    def _fact_extras(uid, gid, rbd, red, bid, k):
+        """Reservation-fact columns the add-on report carries through."""
+        return [
+            _s(uid % 25).alias("billing_postal_code"),
+            F.lit("payment_received").alias("order_status"),
+            F.date_add(F.lit("1994-01-01").cast("date"), (uid % 3000).cast("int")).alias("user_create_date"),
+            _s(gid % 25).alias("delivery_postal_code"),
+            rbd.alias("expected_begin_date"),
+            red.alias("expected_end_date"),
+            red.alias("actual_expected_end_date"),
+            F.date_sub(rbd, 2).alias("earliest_possible_begin_date"),
+            bid.alias("primary_booking_id"),
+            F.date_sub(rbd, 2).alias("customer_shipment_date"),
+            F.date_add(rbd, 6).alias("warehouse_received_date"),
+            F.date_add(rbd, 8).alias("item_available_date"),
+            (gid % 3 + 1).alias("dresses_in_group"),
+            F.date_add(rbd, 5).alias("rf_end_date"),
+            (k + 1).alias("unit_usage_rank"),
+            (k + 3).alias("unit_total_usage"),
+        ]
+
     @cached_property
     def ogr_po(self) -> DataFrame:
         return self.order_group_reservation
@@ -356,6 +386,7 @@ class Warehouse:
             F.col("l_orderkey").alias("order_id"),
             k.alias("seq"),
             (F.col("o_orderdate") + days(k)).alias("created_at"),
+            order_type_expr(F.col("o_orderpriority")).alias("order_type"),
         ).distinct()
 
     @cached_property
