@@ -61,5 +61,6 @@ def epoch_to_ntz(seconds) -> Column:
 
 
 def week_start(d) -> Column:
-    """Monday of the ISO week of ``d`` as a DATE."""
-    return F.to_date(F.date_trunc("week", _c(d).cast("timestamp_ntz")))
+    """Monday of the ISO week of ``d`` as a DATE (``date_trunc('week', d)``), zone independent."""
+    x = F.to_date(_c(d))
+    return F.date_sub(x, (F.dayofweek(x) + 5) % 7)
