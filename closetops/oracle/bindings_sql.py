@@ -346,7 +346,7 @@ SELECT 'F' || {BOOKING_ID} AS id,
        CASE WHEN l_partkey % 3 = 0 THEN 'C' || cast(l_partkey % 50 as varchar) END AS child_sku
 FROM (SELECT *, unnest(generate_series(0, l_orderkey % 3)) AS i FROM lineitem)"""
 
-BINDINGS["fulfillment_seq"] = "SELECT id AS fulfillment_id, max(seq) AS seq FROM fulfillment GROUP BY id"
+BINDINGS["fulfillment_seq"] = f"SELECT 'F' || {BOOKING_ID} AS fulfillment_id, 1 + l_orderkey % 3 AS seq FROM lineitem"
 
 BINDINGS["reservation_fulfillment"] = f"""
 SELECT {BOOKING_ID} AS reservation_booking_id, l_shipdate + to_days(5) AS end_date

@@ -95,12 +95,22 @@ def shift_return_date(transit, begin_ts, end_ts, expected_begin, expected_end):
 
 
 def reservation_fact(uco: DataFrame, users: DataFrame, rog: DataFrame, rb: DataFrame, rbd: DataFrame,
-                     products_iid: DataFrame, products: DataFrame, last_status: DataFrame,
-                     unit_match: DataFrame, rf: DataFrame, transit: DataFrame, qrf: DataFrame,
-                     unit_lookup: DataFrame, unit_loc: DataFrame) -> DataFrame:
-    """Wide fact of active subscription bookings of canceled or paid orders (distinct rows)."""
+                     products_iid: DataFrame, products: DataFrame, fulfillment: DataFrame,
+                     fulfillment_seq: DataFrame, unit_match: DataFrame, rf: DataFrame, transit: DataFrame,
+                     qrf: DataFrame, unit_lookup: DataFrame, unit_loc: DataFrame) -> DataFrame:
+    """Wide fact of active subscription bookings of canceled or paid orders (distinct rows).
+
+    The fulfillment log is first reduced (semi-join) to bookings of qualifying
+    orders; the status LAG is partitioned by booking, so this is exact and
+    keeps the status window off every other booking.
+    """
     o = uco.filter(F.col("order_status").isin(*ORDER_STATUSES) & (F.col("order_type") == "QUEUE"))
     r = rb.filter((F.col("status") == 1) & (F.col("type") == 0))
+    wanted = (r.select("id", "order_group_id")
+              .join(rog.select("group_id", "order_id"), F.col("order_group_id") == F.col("group_id"), "inner")
+              .join(o.select(F.col("order_id").alias("_oo")), F.col("order_id") == F.col("_oo"), "left_semi")
+              .select(F.col("id").alias("booking_id")))
+    last_status = last_two_status(fulfillment.join(wanted, "booking_id", "left_semi"), fulfillment_seq)
     u = users.select(F.col("uid").alias("_uuid"), "mail", F.col("create_date").alias("user_create_date"))
     g = rog.select(F.col("order_id").alias("_goid"), "group_id", F.col("postal_code").alias("delivery_postal_code"),
                    F.col("created_at").alias("_gcreated"))

@@ -23,8 +23,15 @@ MIN_FISCAL_YEAR = 1997
 UNREPLACED_WEEK_FROM = "1999-05-10"
 
 
+_WAREHOUSES: dict = {}
+
+
 def _wh(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(spark, sf_dir)
+    """One Warehouse per (session, directory): bindings are built and analysed once."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _WAREHOUSES:
+        _WAREHOUSES[key] = Warehouse(spark, sf_dir)
+    return _WAREHOUSES[key]
 
 
 def q_ageing_bins(spark, sf_dir) -> DataFrame:
@@ -221,7 +228,7 @@ def _unit_loc(wh):
 def _canceled_temp(wh):
     return rs.reservation_fact(
         wh.uc_orders, wh.users, wh.rtr_order_groups, wh.reservation_booking, wh.reservation_booking_detail,
-        wh.products_iid, wh.products, rs.last_two_status(wh.fulfillment, wh.fulfillment_seq),
+        wh.products_iid, wh.products, wh.fulfillment, wh.fulfillment_seq,
         rs.barcode_unit_match(wh.inventory_history), wh.reservation_fulfillment,
         rs.transit_fallback(wh.shipping_method_time), wh.queue_rf_end_date_consolidation,
         rs.unit_barcode_lookup(wh.inventory_unit), _unit_loc(wh))

