@@ -42,9 +42,19 @@ def _email(internal_domain: str):
             .otherwise(EXTERNAL_LABEL).alias("email"))
 
 
+def classic_candidates(apr: DataFrame, as_of: str, months: int = 8) -> DataFrame:
+    """Problem-report rows of classic orders inside the look-back."""
+    return apr.filter(F.col("order_type").isin(*CLASSIC_TYPES) & _since(as_of, months))
+
+
+def subscription_candidates(bookings: DataFrame, as_of: str, months: int = 24) -> DataFrame:
+    """Subscription bookings inside the union's look-back."""
+    return bookings.filter((F.col("order_type") == "QUEUE") & _since(as_of, months))
+
+
 def problem_orders_classic(apr: DataFrame, pmi: DataFrame, extras: DataFrame, as_of: str,
                            internal_domain: str, months: int = 8) -> DataFrame:
-    a = apr.filter(F.col("order_type").isin(*CLASSIC_TYPES) & _since(as_of, months))
+    a = classic_candidates(apr, as_of, months)
     pm = pmi.filter(F.col("special_type") != "X").select(F.col("sku").alias("_psku"))
     e = extras.select(F.col("reservation_booking_id").alias("_ebid"), F.col("child_sku").alias("_echild"),
                       F.col("last_fulfillment_status").alias("_elfs"))
@@ -77,9 +87,9 @@ def subscription_sources(canceled: DataFrame, ogr: DataFrame, extras: DataFrame,
                          months: int = 24) -> DataFrame:
     c = (canceled.filter(_since(as_of, months))
          .withColumn("child_sku", F.lit(None).cast("string")).withColumn("cancel_flag", F.lit(1)))
-    o = (ogr.filter((F.col("order_type") == "QUEUE") & _since(as_of, months))
+    o = (subscription_candidates(ogr, as_of, months)
          .withColumn("child_sku", F.lit(None).cast("string")).withColumn("cancel_flag", F.lit(0)))
-    e = extras.filter((F.col("order_type") == "QUEUE") & _since(as_of, months)).withColumn("cancel_flag", F.lit(0))
+    e = subscription_candidates(extras, as_of, months).withColumn("cancel_flag", F.lit(0))
     return (c.select(*SUB_COLS).unionByName(o.select(*SUB_COLS)).unionByName(e.select(*SUB_COLS))
             .distinct())
 

@@ -198,9 +198,18 @@ EXTRA_OGR_COLS = ["uid", "order_id", "order_datetime_est", "billing_postal_code"
                   "actual_expected_end_date", "earliest_possible_begin_date", "last_possible_begin_date", "sku"]
 
 
-def reservation_extras(ogr: DataFrame, last_status_extra: DataFrame, products_iid: DataFrame,
-                       products: DataFrame, unit_lookup: DataFrame, unit_loc: DataFrame) -> DataFrame:
-    """Bookings joined to the newest add-on fulfillment, its unit and the unit's last scan."""
+def reservation_extras(ogr: DataFrame, fulfillment: DataFrame, fulfillment_seq: DataFrame, rb: DataFrame,
+                       products_iid: DataFrame, products: DataFrame, unit_lookup: DataFrame,
+                       unit_loc: DataFrame) -> DataFrame:
+    """Bookings joined to the newest add-on fulfillment, its unit and the unit's last scan.
+
+    Only fulfillments of the given bookings enter the status window (a
+    semi-join on the window's partition key, so exact); callers that need a
+    subset of bookings pass the filtered ``ogr`` and the window shrinks with it.
+    """
+    wanted = ogr.select(F.col("reservation_booking_id").alias("booking_id"))
+    last_status_extra = last_two_status(fulfillment.join(wanted, "booking_id", "left_semi"), fulfillment_seq,
+                                        rb=rb, extras_only=True)
     f = last_status_extra.filter(F.col("fulfillment_seq") == F.col("last_fulfillment_seq"))
     f = f.select(*[F.col(c).alias(f"f_{c}") for c in f.columns])
     pi = products_iid.select(F.lower("sku").alias("_pisku"), F.col("style").alias("_pistyle"))

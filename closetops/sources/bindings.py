@@ -112,6 +112,24 @@ class Warehouse:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def materialize(self, names, folder: str) -> dict[str, float]:
+        """Write each named binding once as parquet under ``folder`` and read it back.
+
+        This turns the derived warehouse tables into stored tables (as the
+        analyses' own inputs are), cutting their lineage; ``folder`` should be
+        the cluster's shared checkpoint location.  Names are processed in
+        order, so later bindings are derived from already-stored ones.
+        """
+        import time
+        timings = {}
+        for n in names:
+            t0 = time.perf_counter()
+            path = f"{folder.rstrip('/')}/{n}"
+            getattr(self, n).write.mode("overwrite").parquet(path)
+            self.__dict__[n] = self.spark.read.parquet(path)
+            timings[n] = round(time.perf_counter() - t0, 3)
+        return timings
+
     # ------------------------------------------------------------------ dims
     @cached_property
     def dates(self) -> DataFrame:
