@@ -1 +1,18 @@
 """Reusable relational building blocks composed from DataFrame operations."""
+
+from pyspark.sql import DataFrame
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise an intermediate read by several branches of one plan.
+
+    Spark recomputes a DataFrame for every consumer; a wide join result that
+    feeds a grouped count *and* the join back would be built twice.  The
+    analyses stage such results as tables (CREATE TABLE .. AS); here the rows
+    are written once with ``checkpoint()`` to the session's checkpoint folder
+    (the cluster's shared ``spark.checkpoint.dir``), which also cuts lineage
+    so a lost executor re-reads the stage instead of recomputing the joins.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

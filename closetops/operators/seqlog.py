@@ -21,6 +21,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Default order-range per window task when the order column is a sequence number.
 DEFAULT_SEQ_BUCKET = 1 << 20
@@ -30,6 +31,49 @@ def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
+def _sentinel(dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
+        return F.lit("")
+    if isinstance(dtype, (T.DateType,)):
+        return F.lit("1970-01-01").cast("date")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01 00:00:00").cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(dtype)
+
+
+def null_safe_keys(df: DataFrame, keys: list[str], prefix: str = "_nk") -> tuple[DataFrame, list[str]]:
+    """Add plain-equality join columns that also match NULL to NULL.
+
+    Each key becomes (coalesce(key, sentinel), key IS NULL).  Partitioning and
+    joining on these *columns* lets a repartition, a grouped aggregate and a
+    join-back share one exchange (Spark reuses it), where ``eqNullSafe`` join
+    conditions would force another shuffle.
+    """
+    cols = {}
+    names = []
+    for i, k in enumerate(keys):
+        v, n = f"{prefix}{i}", f"{prefix}{i}n"
+        cols[v] = F.coalesce(F.col(k), _sentinel(df.schema[k].dataType))
+        cols[n] = F.col(k).isNull()
+        names += [v, n]
+    return df.withColumns(cols), names
+
+
+def group_count_back(df: DataFrame, keys: list[str], value: Column, out: str) -> DataFrame:
+    """``COUNT(value) OVER (PARTITION BY keys)`` as a grouped count joined back.
+
+    The input is hash-partitioned once on the keys; the count and the join
+    back both read that exchange, and a large group is counted by partial
+    aggregation instead of being held by one window task.
+    """
+    x, nk = null_safe_keys(df, keys)
+    x = x.repartition(*nk)
+    cnt = x.groupBy(*nk).agg(F.count(value).alias(out))
+    return x.join(cnt, nk, "inner").drop(*nk)
+
+
 def shift_within(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str],
                  direction: str = "lead", bucket: Column | None = None) -> DataFrame:
     """Add ``out = LEAD/LAG(src)`` over ``PARTITION BY keys ORDER BY order``.
@@ -45,21 +89,24 @@ def shift_within(df: DataFrame, keys: list[str], order: list[str], values: dict[
         return df.withColumns({o: fn(F.col(s)).over(w) for o, s in values.items()})
 
     b = "_bkt"
-    x = df.withColumn(b, bucket)
-    w = Window.partitionBy(*keys, b).orderBy(*order)
+    x, nk = null_safe_keys(df.withColumn(b, bucket), keys)
+    part = nk + [b]
+    # One shuffle on (key, bucket): the windows, the edge aggregate and the
+    # join back all read this exchange, so the input is computed once.
+    x = x.repartition(*part)
+    w = Window.partitionBy(*part).orderBy(*order)
     inner = x.withColumns({**{o: fn(F.col(s)).over(w) for o, s in values.items()},
                            "_has": fn(F.lit(1)).over(w)})
     # Edge row of every (key, bucket): first row for LEAD, last row for LAG.
     pick = F.min_by if direction == "lead" else F.max_by
     edge_struct = F.struct(*[F.col(s).alias(o) for o, s in values.items()])
-    edges = x.groupBy(*keys, b).agg(pick(edge_struct, F.struct(*order)).alias("_edge"))
-    wb = Window.partitionBy(*keys).orderBy(b)
-    nb = edges.select(*keys, b, fn("_edge").over(wb).alias("_nb"))
-    j = inner.join(nb, _null_safe_on(inner, nb, keys + [b]), "left")
-    out = j.select(
-        *[inner[c] for c in df.columns],
-        *[F.when(inner["_has"].isNull(), nb["_nb"][o]).otherwise(inner[o]).alias(o) for o in values])
-    return out
+    edges = x.groupBy(*part).agg(pick(edge_struct, F.struct(*order)).alias("_edge"))
+    wb = Window.partitionBy(*nk).orderBy(b)
+    nb = edges.select(*part, fn("_edge").over(wb).alias("_nb"))
+    j = inner.join(nb, part, "left")
+    return j.select(
+        *[F.col(c) for c in df.columns],
+        *[F.when(F.col("_has").isNull(), F.col("_nb")[o]).otherwise(F.col(o)).alias(o) for o in values])
 
 
 def next_state(log: DataFrame, as_of: str, key: str = "id", seq: str = "seq",
@@ -115,10 +162,12 @@ def row_number_within(df: DataFrame, keys: list[str], order: list, bucket: Colum
     within a key for a deterministic numbering.
     """
     b = "_rn_b"
-    x = df.withColumn(b, bucket)
-    inner = x.withColumn("_rn_in", F.row_number().over(Window.partitionBy(*keys, b).orderBy(*order)))
-    counts = x.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("_rn_n"))
-    wb = Window.partitionBy(*keys).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, b, F.coalesce(F.sum("_rn_n").over(wb), F.lit(0)).alias("_rn_off"))
-    j = inner.join(offs, _null_safe_on(inner, offs, keys + [b]), "inner")
-    return j.select(*[inner[c] for c in df.columns], (offs["_rn_off"] + inner["_rn_in"]).alias(out))
+    x, nk = null_safe_keys(df.withColumn(b, bucket), keys)
+    part = nk + [b]
+    x = x.repartition(*part)
+    inner = x.withColumn("_rn_in", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    counts = x.groupBy(*part).agg(F.count(F.lit(1)).alias("_rn_n"))
+    wb = Window.partitionBy(*nk).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*part, F.coalesce(F.sum("_rn_n").over(wb), F.lit(0)).alias("_rn_off"))
+    j = inner.join(offs, part, "inner")
+    return j.select(*[F.col(c) for c in df.columns], (F.col("_rn_off") + F.col("_rn_in")).alias(out))

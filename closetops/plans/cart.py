@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import flag
+from ..operators import stage
 from ..functions.temporal import elapsed_days, epoch_to_ntz, to_eastern
 
 # Fixed values of the analysis.
@@ -78,6 +79,7 @@ def cart_bookings(rb: DataFrame, users: DataFrame, rbd: DataFrame, ogr: DataFram
                & F.col("rental_begin_date").between(pp["rent_begin_start"], pp["rent_begin_end"]), "inner")
          .join(fo, r["uid"] == fo["_fuid"], "left"))
     # Smallest standard size among the result rows of the same size label.
+    x = stage(x)
     std = x.groupBy(F.col("psize").alias("_spsize")).agg(F.min("_std").alias("standard_size"))
     x = x.join(std, x["psize"].eqNullSafe(std["_spsize"]), "left")
     return x.select(

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import exclude_prefix_digits
+from ..operators import stage
 from ..operators.aggs import horizon_counts
 
 # Fixed values of the analyses.
@@ -203,6 +204,7 @@ def loyalty(summary: DataFrame, ogr: DataFrame, issue: str | None = None,
         "nth_order",
         F.when(nn("refund_amount") == 0, "no_refund").otherwise("refund").alias("refund_flg"),
     ).distinct()
+    base = stage(base)
     hz = horizon_counts(base, ogr, "uid", "rental_begin_date", "order_id", "order_datetime_est", horizons)
     out = base.join(hz, ["uid", "rental_begin_date"], "left")
     return out.select(*base.columns, *[F.coalesce(F.col(f"orders_in_{n}d"), F.lit(0)).cast("bigint")

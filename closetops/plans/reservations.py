@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import day_boundaries, epoch_to_ntz, to_eastern
-from ..operators.seqlog import current_row, last_k_by_seq, shift_within
+from ..operators import stage
+from ..operators.seqlog import current_row, group_count_back, last_k_by_seq, null_safe_keys, shift_within
 
 # Fixed values of the analysis.
 GROUND_METHOD = 2
@@ -47,7 +48,7 @@ def last_two_status(fulfillment: DataFrame, fulfillment_seq: DataFrame, rb: Data
         r = rb.select(F.col("id").alias("_rbid"), F.col("sku"))
         x = x.join(r, x["booking_id"] == r["_rbid"], "inner").drop("_rbid")
         cols += ["sku", "child_sku"]
-    x = x.withColumn("_est", to_eastern("updated_on"))
+    x = stage(x.withColumn("_est", to_eastern("updated_on")))
     x = shift_within(x, ["booking_id"], ["updated_on", "id", "seq"],
                      {"last2nd_fulfillment_status": "status", "last2nd_fulfillment_updated_on": "_est"},
                      "lag", F.to_date("updated_on"))
@@ -148,8 +149,7 @@ def reservation_fact(uco: DataFrame, users: DataFrame, rog: DataFrame, rb: DataF
          .join(iull, F.col("_iulid") == iull["_locid"], "left"))
     # Dresses per group: counted over the joined rows (before de-duplication), as a grouped count.
     dress = (F.col("product_type") == "D") & (F.col("last_fulfillment_status") != LIMBO)
-    per_group = x.groupBy(F.col("group_id").alias("_dg")).agg(F.count(F.when(dress, F.col("id"))).alias("dresses_in_group"))
-    x = x.join(per_group, x["group_id"].eqNullSafe(per_group["_dg"]), "left")
+    x = group_count_back(stage(x), ["group_id"], F.when(dress, F.col("id")), "dresses_in_group")
     eastern_day = lambda c: F.to_date(to_eastern(c))
     return x.select(
         "uid", "order_id", to_eastern(epoch_to_ntz("created")).alias("order_datetime_est"),
@@ -179,15 +179,19 @@ def unit_usage(fact: DataFrame) -> DataFrame:
     Both are grouped counts joined back: per (unit, begin date) counts, a running
     sum over the unit's distinct begin dates, and a per-unit total.
     """
-    base = fact.filter(F.col("unit_id").isNotNull())
-    per_day = base.groupBy(F.col("unit_id").alias("_u"), F.col("rental_begin_date").alias("_d")).agg(
-        F.count("reservation_booking_id").alias("_n"))
-    w = Window.partitionBy("_u").orderBy(F.col("_d").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = per_day.select("_u", "_d", F.sum("_n").over(w).alias("_rank"),
-                           F.sum("_n").over(Window.partitionBy("_u")).alias("_total"))
-    x = fact.join(ranks, (fact["unit_id"] == ranks["_u"]) & fact["rental_begin_date"].eqNullSafe(ranks["_d"]), "left")
+    # One shuffle on (unit, begin date); per-day counts, their running sum per
+    # unit (one row per distinct day) and the join back all reuse it.
+    x, nk = null_safe_keys(stage(fact), ["unit_id", "rental_begin_date"])
+    x = x.repartition(*nk)
+    per_day = x.groupBy(*nk).agg(F.count("reservation_booking_id").alias("_n"))
+    u = nk[:2]
+    w = Window.partitionBy(*u).orderBy(F.col(nk[3]).desc(), F.col(nk[2]).asc()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    ranks = per_day.select(*nk, F.sum("_n").over(w).alias("_rank"),
+                           F.sum("_n").over(Window.partitionBy(*u)).alias("_total"))
+    x = x.join(ranks, nk, "inner")
     ok = F.col("unit_id").isNotNull() & (F.length("barcode") == BARCODE_LENGTH)
-    return x.select(*[fact[c] for c in fact.columns],
+    return x.select(*[F.col(c) for c in fact.columns],
                     F.when(ok, F.col("_rank")).cast("bigint").alias("unit_usage_rank"),
                     F.when(ok, F.col("_total")).cast("bigint").alias("unit_total_usage"))
 

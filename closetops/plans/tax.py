@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import stage
 from ..operators.seqlog import row_number_within
 
 ENTRY_COLS = ["calendar_year", "calendar_month", "state", "city", "order_id", "barcode", "sku",
@@ -28,7 +29,7 @@ def tax_entries(og: DataFrame, zones: DataFrame, ogr: DataFrame, fvi: DataFrame,
          .select(*ENTRY_COLS).distinct())
     order = ["ship_date", "order_id", "sku", "state", "city", "postal_code", "calendar_year", "calendar_month",
              "unit_cost", "activated_on"]
-    x = row_number_within(a, ["barcode"], order, F.year("ship_date"), "_rn")
+    x = row_number_within(stage(a), ["barcode"], order, F.year("ship_date"), "_rn")
     return (x.select(*ENTRY_COLS,
                      F.when(F.to_date("activated_on") < F.lit(cutoff).cast("date"), F.lit(-1))
                      .otherwise(F.col("_rn")).cast("bigint").alias("nth_entry"))
