@@ -360,7 +360,7 @@ BINDINGS["unlimited_po_sources"] = f"""
 SELECT 'F' || {BOOKING_ID} AS fulfillment_id, 'Warehouse' AS po_category, 'Damaged' AS po_reason
 FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'"""
 
-BINDINGS["rtr_order_groups"] = """
+BINDINGS["order_groups"] = """
 SELECT DISTINCT l_orderkey * 2 + l_linenumber % 2 AS group_id,
        l_orderkey AS order_id,
        cast((l_orderkey * 2 + l_linenumber % 2) % 25 as varchar) AS postal_code,

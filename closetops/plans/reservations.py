@@ -243,3 +243,31 @@ def reservation_extras(ogr: DataFrame, fulfillment: DataFrame, fulfillment_seq:
         "unit_id", ogr["dresses_in_group"], "unit_current_status", "unit_last_action",
         "unit_current_location", "unit_last_updated_on",
         ogr["rf_end_date"], ogr["unit_usage_rank"], ogr["unit_total_usage"])
+
+
+def return_shift(rb: DataFrame, rbd: DataFrame, rog: DataFrame, transit: DataFrame) -> DataFrame:
+    """Every order booking with its transit days and the shifted expected return date."""
+    r = rb.filter(F.col("type") == 0).select("id", "order_group_id", "expected_begin_date", "expected_end_date")
+    d = rbd.select(F.col("reservation_booking_id").alias("_dbid"), F.col("rental_begin_date").alias("_rbd"),
+                   F.col("rental_end_date").alias("_red"))
+    g = rog.select(F.col("group_id").alias("_gid"), F.col("postal_code").alias("_zip"))
+    t = transit.select(F.col("destination_zip_code").alias("_tz"), F.col("transit_days").alias("transit_days"))
+    x = (r.join(d, r["id"] == d["_dbid"], "inner")
+         .join(g, r["order_group_id"] == g["_gid"], "inner")
+         .join(t, F.col("_zip") == t["_tz"], "left"))
+    return x.select(F.col("id").alias("reservation_booking_id"), "expected_begin_date", "expected_end_date",
+                    "transit_days",
+                    day_boundaries("_rbd", "_red").alias("rental_days"),
+                    shift_return_date(F.col("transit_days"), F.col("_rbd"), F.col("_red"),
+                                      F.col("expected_begin_date"), F.col("expected_end_date"))
+                    .alias("actual_expected_end_date"))
+
+
+def eastern_order_times(uco: DataFrame, rog: DataFrame) -> DataFrame:
+    """Order and order-group creation times in US Eastern wall clock (epoch seconds read as UTC)."""
+    g = rog.select(F.col("order_id").alias("_goid"), "group_id", "created_at")
+    x = uco.join(g, uco["order_id"] == g["_goid"], "inner")
+    return x.select("order_id", "group_id", "created",
+                    to_eastern(epoch_to_ntz("created")).alias("order_datetime_est"),
+                    F.to_date(to_eastern(epoch_to_ntz("created"))).alias("order_date_est"),
+                    to_eastern("created_at").alias("group_created_est"))

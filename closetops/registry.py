@@ -243,7 +243,7 @@ def _unit_loc(wh):
 
 def _canceled_temp(wh):
     return rs.reservation_fact(
-        wh.uc_orders, wh.users, wh.rtr_order_groups, wh.reservation_booking, wh.reservation_booking_detail,
+        wh.uc_orders, wh.users, wh.order_groups, wh.reservation_booking, wh.reservation_booking_detail,
         wh.products_iid, wh.products, wh.fulfillment, wh.fulfillment_seq,
         rs.barcode_unit_match(wh.inventory_history), wh.reservation_fulfillment,
         rs.transit_fallback(wh.shipping_method_time), wh.queue_rf_end_date_consolidation,
@@ -290,6 +290,17 @@ def q_unit_usage(spark, sf_dir):
     return _canceled(_wh(spark, sf_dir))
 
 
+def q_return_shift(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return rs.return_shift(wh.reservation_booking, wh.reservation_booking_detail, wh.order_groups,
+                           rs.transit_fallback(wh.shipping_method_time))
+
+
+def q_tz_eastern(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return rs.eastern_order_times(wh.uc_orders, wh.order_groups)
+
+
 def q_reservation_extras(spark, sf_dir):
     return _extras(_wh(spark, sf_dir))
 
@@ -346,7 +357,7 @@ def _leak(grain):
 
 def q_tax_entries(spark, sf_dir):
     wh = _wh(spark, sf_dir)
-    return tax.tax_entries(wh.rtr_order_groups, wh.uc_zones, wh.order_group_reservation,
+    return tax.tax_entries(wh.order_groups, wh.uc_zones, wh.order_group_reservation,
                            wh.finance_current_view_inventory, wh.shipment, wh.dates)
 
 
@@ -399,6 +410,8 @@ QUERIES = {
     "q_reservation_fact": q_reservation_fact,
     "q_unit_usage": q_unit_usage,
     "q_reservation_extras": q_reservation_extras,
+    "q_return_shift": q_return_shift,
+    "q_tz_eastern": q_tz_eastern,
     "q_problem_orders_classic": q_problem_orders_classic,
     "q_problem_orders_subscription": q_problem_orders_subscription,
     "q_problem_orders": q_problem_orders,

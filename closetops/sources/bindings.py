@@ -174,7 +174,7 @@ class Warehouse:
 
     @cached_property
     def inventory_history(self) -> DataFrame:
-        """rtrbi.inventory_history: barcode <-> unit id pairs."""
+        """inventory_history: barcode <-> unit id pairs."""
         return self.inventory_unit.select("barcode", F.col("id").alias("unit_id")).distinct()
 
     @cached_property
@@ -210,7 +210,7 @@ class Warehouse:
 
     @cached_property
     def order_group_reservation(self) -> DataFrame:
-        """rtrbi.order_group_reservation (also analytics.ogr_po): one row per booking.
+        """order_group_reservation (also analytics.ogr_po): one row per booking.
 
         Bookings of order lines, plus one booking per purchase event (the
         click log's checkouts), so click and order data meet.
@@ -337,7 +337,7 @@ class Warehouse:
 
     @cached_property
     def autumn_report_raw_data(self) -> DataFrame:
-        """rtrbi.autumn_report_raw_data: problem-order source rows."""
+        """autumn_report_raw_data: problem-order source rows."""
         return self.order_group_reservation.select(
             "group_id", "mail", "merchandise_category", "order_type", "po_category", "po_reason",
             "rental_begin_date", "reservation_booking_id", "sku", "sub_type", "type")
@@ -530,7 +530,7 @@ class Warehouse:
                         F.lit("Damaged").alias("po_reason"))
 
     @cached_property
-    def rtr_order_groups(self) -> DataFrame:
+    def order_groups(self) -> DataFrame:
         """etl order groups: one row per (order, line parity)."""
         l = self.raw("lineitem").select("l_orderkey", "l_linenumber")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -620,7 +620,7 @@ class Warehouse:
 
     @cached_property
     def product_prices(self) -> DataFrame:
-        """rtrbi.product_prices: each model priced in 3 order windows x 2 rent windows."""
+        """product_prices: each model priced in 3 order windows x 2 rent windows."""
         p = self.raw("part")
         grid = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
                          for i in range(3) for j in range(2)])
@@ -681,7 +681,7 @@ class Warehouse:
     # ------------------------------------------------------------ aggregates
     @cached_property
     def ow_transaction_summary(self) -> DataFrame:
-        """rtrbi.ow_transaction_summary: refund transactions per order group."""
+        """ow_transaction_summary: refund transactions per order group."""
         f = self.financial_line_item.filter(F.col("direction") == "OUT")
         return f.select(
             F.col("id").alias("transaction_id"),
@@ -696,7 +696,7 @@ class Warehouse:
 
     @cached_property
     def v_ot_orderdata(self) -> DataFrame:
-        """rtrbi.v_ot_orderdata: booking begin dates with the order's rank per customer."""
+        """v_ot_orderdata: booking begin dates with the order's rank per customer."""
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         from pyspark.sql import Window
         w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
@@ -735,7 +735,7 @@ class Warehouse:
     # ------------------------------------------------------------- SKU month
     @cached_property
     def profitability_sku_monthly_revenue_cogs(self) -> DataFrame:
-        """rtrbi.profitability_sku_monthly_revenue_cogs: SKU x fiscal month x order type.
+        """profitability_sku_monthly_revenue_cogs: SKU x fiscal month x order type.
 
         The rental month is the fiscal month of the ship date; the availability
         month is the fiscal month of the part's first ship date.

@@ -1,4 +1,4 @@
-"""The date dimension (``rtrbi.dates`` in the analyses).
+"""The date dimension (``dates`` in the analyses).
 
 One row per day.  Calendar parts are plain; the fiscal parts follow a retail
 4-5-4 year that starts on the Sunday falling in Jan 29 .. Feb 4 (the Sunday on
