@@ -101,7 +101,7 @@ def cart_sessions(rcr: DataFrame, dates: DataFrame, bot_uids=BOT_UIDS) -> DataFr
         F.countDistinct("sku").alias("sku_count"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.round(F.avg("price").cast("double"), 6).alias("cart_price"),
+        (F.sum("price").cast("double") / F.count("price")).alias("cart_price"),
         F.min("new_flg").alias("new_flg"),
         F.max("order_total").alias("order_total"),
         F.max("standard_size").alias("max_size"),

@@ -61,5 +61,5 @@ def wcr(cohort: DataFrame) -> DataFrame:
     x = cumulative(x, "sku", "month_since_available", rev, "_run")
     return x.select(*cohort.columns,
                     F.col("_run").cast("decimal(38,4)").alias("rev_running_total"),
-                    F.round(F.col("_run").cast("double") / (F.col("wholesale_cost").cast("double") + 0.01) - 1, 6)
+                    (F.col("_run").cast("double") / (F.col("wholesale_cost").cast("double") + 0.01) - 1)
                     .alias("wcr_pct"))
