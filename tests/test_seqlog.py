@@ -40,3 +40,21 @@ def test_lag_bucketed(spark):
     plain = shift_within(log, ["id"], ["seq"], {"prev": "action"}, "lag")
     b = shift_within(log, ["id"], ["seq"], {"prev": "action"}, "lag", F.floor(F.col("seq") / 4))
     assert sorted(map(tuple, b.collect())) == sorted(map(tuple, plain.collect()))
+
+
+def test_hot_unit_is_split_across_buckets(spark):
+    """One unit holds two thirds of the log: the LEAD is exact and its windows are per (unit, bucket)."""
+    t = dt.datetime(2024, 1, 1)
+    rows = [(0, i, "ACTIVE", "91234567", t + dt.timedelta(minutes=i), "a", "S", "X") for i in range(0, 1200, 2)]
+    rows += [(u, 1 + 2 * u + k, "ACTIVE", "11111111", t + dt.timedelta(minutes=u + k), "b", "S", "Y")
+             for u in range(1, 100) for k in range(3)]
+    log = spark.createDataFrame(rows, "id bigint, seq bigint, status string, barcode string, "
+                                      "updated_on timestamp_ntz, action string, location_site string, "
+                                      "location_station string")
+    split = next_state(log, as_of="2024-03-01", bucket_width=64)
+    plain = next_state(log, as_of="2024-03-01", bucket_width=None)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, plain.collect()))
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_nk0, _nk0n, _bkt" in plan
+    buckets = log.filter("id = 0").select(F.floor(F.col("seq") / 64)).distinct().count()
+    assert buckets >= 18  # the hot unit's rows are spread over many window tasks
