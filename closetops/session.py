@@ -44,14 +44,24 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, creating a scratch one only if unset."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return conf
-    current = spark.sparkContext.getCheckpointDir()
+    """Return the checkpoint folder.
+
+    The cluster's shared ``spark.checkpoint.dir`` is used when set.  Only a
+    local-mode session (tests, bench) without one gets a scratch folder; on a
+    cluster a machine-local folder would not be readable by other executors,
+    so a missing setting is an error there.
+    """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current:
         return current
+    conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if conf:
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: staged report results are "
+                           "checkpointed there")
     path = tempfile.mkdtemp(prefix="closetops-ckpt-", dir="/tmp")
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
