@@ -139,3 +139,22 @@ def test_anti_join_null_keys(spark):
     lit = _rows(left.alias("l").join(right.alias("r"), F.col("l.g") == F.col("r.g"), "left")
                 .filter(F.col("r.g").isNull()).select("l.g"))
     assert anti == lit
+
+
+def test_last_two_status_interleaved_fulfillments(spark):
+    """Previous status is LAG over the booking: it can come from the booking's other fulfillment."""
+    from closetops.plans.reservations import last_two_status
+    t = dt.datetime(2024, 1, 1)
+    log = spark.createDataFrame([
+        ("F1", "B", 1, "RESERVED", "1", t, None),
+        ("F1", "B", 2, "SHIPPED", "1", t + dt.timedelta(hours=2), None),
+        ("F2", "B", 1, "RESERVED", "2", t + dt.timedelta(hours=1), None),
+        ("F2", "B", 2, "ITEM_LIMBO", "2", t + dt.timedelta(hours=3), None),
+        ("F3", "C", 1, "RESERVED", "3", t, None),                  # one row only
+    ], "id string, booking_id string, seq bigint, status string, barcode string, updated_on timestamp_ntz, "
+       "child_sku string")
+    ptr = spark.createDataFrame([("F1", 2), ("F2", 2), ("F3", 1)], "fulfillment_id string, seq bigint")
+    got = {(r.fulfillment_id, r.fulfillment_seq): r.last2nd_fulfillment_status
+           for r in last_two_status(log, ptr).collect()}
+    assert got == {("F1", 1): None, ("F2", 1): "RESERVED", ("F1", 2): "RESERVED", ("F2", 2): "SHIPPED",
+                   ("F3", 1): None}
