@@ -12,8 +12,6 @@ calendar (bounded by its date span) is then broadcast for the fiscal week.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +84,3 @@ def ageing_report(scan_log: DataFrame, calendar: DataFrame, as_of: str,
                   bucket_width: int | None = DEFAULT_SEQ_BUCKET) -> DataFrame:
     ns = next_state(scan_log, as_of=as_of, bucket_width=bucket_width)
     return ageing_bins(expand_days(idle_stretches(ns, idle_since), calendar, as_of))
-
-
-def as_of_timestamp(d: str) -> str:
-    return dt.datetime.fromisoformat(d).strftime("%Y-%m-%d %H:%M:%S")

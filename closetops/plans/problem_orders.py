@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import any_in
+from ..functions.predicates import any_in, months_back
 
 # Fixed values of the analysis.
 CLASSIC_TYPES = ("CLASSIC", "CLASSIC_POSH", "STORE_PICKUP", "STORE_PICKUP_WEB")
@@ -34,7 +34,7 @@ SUB_COLS = ["fulfillment_id", "rental_begin_date", "merchandise_category", "prod
 
 
 def _since(as_of: str, months: int):
-    return F.col("rental_begin_date") > F.add_months(F.lit(as_of).cast("date"), -months)
+    return F.col("rental_begin_date") > months_back(as_of, months)
 
 
 def _email(internal_domain: str):
