@@ -137,7 +137,7 @@ def cart_conversion(sc: DataFrame, per_week: DataFrame, dates: DataFrame, lo: st
     return x.select(
         *[s[c] for c in SESSION_COLS], "first_addto_SC_week_start",
         (F.datediff("LPD_week_start", "first_addto_SC_week_start") / 7).alias("LPD_SC_dif_week"),
-        F.when(placed, elapsed_days("first_order", "first_addto_SC")).alias("order_SC_dif_day"),
+        F.when(placed, elapsed_days("first_order", "first_addto_SC")).cast("bigint").alias("order_SC_dif_day"),
         flag(placed).alias("classic_checkout_flag"),
         F.col("booking_count").alias("booking_count_classic_unlimited"))
 

@@ -122,7 +122,7 @@ def replacement_by_weekday(resolution: DataFrame, as_of: str, days: int = 60) ->
     """Distinct replacement bookings by begin weekday (0 = Sunday) and order type, last ``days``."""
     lo = F.date_sub(week_start(F.lit(as_of).cast("date")), days)
     x = resolution.filter(F.col("oi_resolution_date").between(lo, F.lit(as_of).cast("date")))
-    return (x.groupBy((F.dayofweek("rental_begin_date") - 1).alias("weekday"),
+    return (x.groupBy((F.dayofweek("rental_begin_date") - 1).cast("bigint").alias("weekday"),
                       F.when(F.col("order_type").isin(*CLASSIC_TYPES), "CLASSIC")
                       .otherwise(F.col("order_type")).alias("order_type"))
             .agg(F.countDistinct("replacement_booking_id").alias("replacement_bookings"))

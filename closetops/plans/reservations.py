@@ -257,7 +257,7 @@ def return_shift(rb: DataFrame, rbd: DataFrame, rog: DataFrame, transit: DataFra
          .join(t, F.col("_zip") == t["_tz"], "left"))
     return x.select(F.col("id").alias("reservation_booking_id"), "expected_begin_date", "expected_end_date",
                     "transit_days",
-                    day_boundaries("_rbd", "_red").alias("rental_days"),
+                    day_boundaries("_rbd", "_red").cast("bigint").alias("rental_days"),
                     shift_return_date(F.col("transit_days"), F.col("_rbd"), F.col("_red"),
                                       F.col("expected_begin_date"), F.col("expected_end_date"))
                     .alias("actual_expected_end_date"))

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from closetops.oracle.check import compare
+from closetops.oracle.check import compare, type_mismatches
 
 from conftest import SF_SMALL
 
@@ -17,8 +17,10 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck_small, name):
-    r = compare(QUERIES[name](spark, SF_SMALL), duck_small, SQL[name])
+    df = QUERIES[name](spark, SF_SMALL)
+    r = compare(df, duck_small, SQL[name])
     assert r["ok"], r.get("why")
+    assert not type_mismatches(df, duck_small, SQL[name])
 
 
 def test_entry_smoke(spark):
