@@ -158,3 +158,12 @@ def test_last_two_status_interleaved_fulfillments(spark):
            for r in last_two_status(log, ptr).collect()}
     assert got == {("F1", 1): None, ("F2", 1): "RESERVED", ("F1", 2): "RESERVED", ("F2", 2): "SHIPPED",
                    ("F3", 1): None}
+
+
+def test_group_count_back_matches_window_with_null_keys(spark):
+    from closetops.operators.seqlog import group_count_back
+    df = spark.createDataFrame([("g1", 1), ("g1", None), ("g1", 3), (None, 4), (None, 5), ("g2", None)],
+                               "g string, v int")
+    got = _rows(group_count_back(df, ["g"], F.col("v"), "n"))
+    want = _rows(df.withColumn("n", F.count("v").over(Window.partitionBy("g"))))
+    assert got == want
