@@ -697,11 +697,11 @@ class Warehouse:
     @cached_property
     def v_ot_orderdata(self) -> DataFrame:
         """v_ot_orderdata: booking begin dates with the order's rank per customer."""
+        from ..operators.seqlog import row_number_within
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        from pyspark.sql import Window
-        w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-        nth = o.select(F.col("o_orderkey").alias("order_id"),
-                       F.row_number().over(w).cast("bigint").alias("nth_order"))
+        # Rank of the order among the customer's orders, split per order year (skew-safe).
+        nth = (row_number_within(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], F.year("o_orderdate"), "_nth")
+               .select(F.col("o_orderkey").alias("order_id"), F.col("_nth").cast("bigint").alias("nth_order")))
         l = self.raw("lineitem").select(F.col("l_orderkey").alias("order_id"),
                                         F.to_date("l_shipdate").alias("rental_begin_date"))
         return l.join(nth, "order_id", "inner")
