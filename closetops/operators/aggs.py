@@ -40,28 +40,39 @@ def horizon_counts(probes: DataFrame, events: DataFrame, key: str, anchor: str,
         F.count(F.when(F.col("_ts") == F.to_date("_ts").cast("timestamp_ntz"), 1)).alias("_mid"))
     pr = (probes.select(F.col(key).alias("_k"), F.col(anchor).alias("_a"))
           .filter(F.col("_k").isNotNull() & F.col("_a").isNotNull()).distinct())
-    # Probe days: the day before the anchor (lower edge), day anchor+N-1 (upper
-    # edge, whole days) and day anchor+N (its midnight only).
+    # Probe points: the day before the anchor (lower edge), day anchor+N-1
+    # (upper edge, whole days) and day anchor+N (for its midnight orders).
     roles = [F.struct(F.lit("lo").alias("role"), F.lit(-1).alias("off"))]
     for n in horizons:
         roles.append(F.struct(F.lit(f"hi{n}").alias("role"), F.lit(n - 1).alias("off")))
         roles.append(F.struct(F.lit(f"mid{n}").alias("role"), F.lit(n).alias("off")))
     pts = (pr.select("_k", "_a", F.explode(F.array(*roles)).alias("_r"))
            .select("_k", "_a", F.col("_r.role").alias("_role"),
-                   F.date_add("_a", F.col("_r.off")).alias("_d")))
-    days = (per_day.unionByName(pts.select("_k", "_d", F.lit(0).cast("bigint").alias("_n"),
-                                           F.lit(0).cast("bigint").alias("_mid")))
-            .groupBy("_k", "_d").agg(F.sum("_n").alias("_n"), F.sum("_mid").alias("_mid")))
-    w = Window.partitionBy("_k").orderBy("_d").rowsBetween(Window.unboundedPreceding, 0)
-    cum = days.select("_k", "_d", F.sum("_n").over(w).alias("_cum"), "_mid")
-    j = pts.join(cum, ["_k", "_d"], "inner")
-    lo = F.sum(F.when(F.col("_role") == "lo", F.col("_cum")).otherwise(0))
+                   F.date_add("_a", F.col("_r.off")).alias("_d"),
+                   F.lit(0).cast("bigint").alias("_n"), F.lit(0).cast("bigint").alias("_mid"),
+                   F.lit(1).alias("_probe")))
+    evs = per_day.select("_k", F.lit(None).cast("date").alias("_a"), F.lit(None).cast("string").alias("_role"),
+                         "_d", "_n", "_mid", F.lit(0).alias("_probe"))
+    # One window per customer over its order days and probe points (orders of a
+    # day sort before that day's probes): each probe reads the running counts
+    # of orders on or before its day.  Rows per customer: distinct order days
+    # plus 13 points per distinct rental begin date.
+    w = (Window.partitionBy("_k").orderBy("_d", "_probe")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = (evs.unionByName(pts)
+           .select("_k", "_a", "_role", "_probe", F.sum("_n").over(w).alias("_cn"),
+                   F.sum("_mid").over(w).alias("_cm"))
+           .filter(F.col("_probe") == 1))
+
+    def at(role, col):
+        return F.sum(F.when(F.col("_role") == role, F.col(col)).otherwise(0))
+
     aggs = []
     for n in horizons:
-        hi = F.sum(F.when(F.col("_role") == f"hi{n}", F.col("_cum")).otherwise(0))
-        mid = F.sum(F.when(F.col("_role") == f"mid{n}", F.col("_mid")).otherwise(0))
-        aggs.append((hi - lo + mid).cast("bigint").alias(f"{prefix}{n}{suffix}"))
-    return (j.groupBy("_k", "_a").agg(*aggs)
+        # whole days (anchor .. anchor+N-1) plus the orders at midnight of day anchor+N
+        cnt = (at(f"hi{n}", "_cn") - at("lo", "_cn")) + (at(f"mid{n}", "_cm") - at(f"hi{n}", "_cm"))
+        aggs.append(cnt.cast("bigint").alias(f"{prefix}{n}{suffix}"))
+    return (run.groupBy("_k", "_a").agg(*aggs)
             .withColumnRenamed("_k", key).withColumnRenamed("_a", anchor))
 
 
