@@ -2,10 +2,11 @@
 
 ``horizon_counts`` answers "how many distinct orders did this customer place
 between day d and d + N" for several N at once without joining a customer's
-rows to each other: orders are pre-aggregated to (customer, day) counts, a
-running total per customer is taken over days (at most one row per calendar
-day per customer, however many orders there are), and each probe reads the
-running total at its two edges.
+rows to each other: orders are pre-aggregated to (customer, day) counts, and
+one running-sum window per customer runs over those days together with the
+probe points (the day before d, and days d+N-1 and d+N for each horizon).
+The window holds one row per order day and 13 per probe date, however many
+orders a customer has, and each probe reads the running total at its edges.
 
 ``cumulative`` replaces the triangular self-join ``a.m <= a1.m`` by a RANGE
 window.
