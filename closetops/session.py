@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.timestampType": "TIMESTAMP_NTZ",
     "spark.ui.enabled": "false",
+    # staged (checkpointed) intermediates are removed once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
