@@ -254,3 +254,12 @@ def device_switch_summary(pairs: DataFrame) -> DataFrame:
         F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("pairs_total"),
         F.coalesce(F.sum(F.when(F.col("checkout_device") != F.col("add_to_cart_device"), F.col("pairs"))), F.lit(0))
         .cast("bigint").alias("pairs_switched"))
+
+
+def profile_cart(rcr: DataFrame, sessions: DataFrame, devices: DataFrame) -> DataFrame:
+    """Data-profile probes of the cart report: staged row counts and the device domain (one row)."""
+    parts = (rcr.agg(F.lit("cart_rows").alias("m"), F.count(F.lit(1)).alias("v"))
+             .unionByName(sessions.agg(F.lit("session_rows").alias("m"), F.count(F.lit(1)).alias("v")))
+             .unionByName(devices.agg(F.lit("device_values").alias("m"), F.countDistinct("device").alias("v"))))
+    return parts.agg(*[F.max(F.when(F.col("m") == n, F.col("v"))).cast("bigint").alias(n)
+                       for n in ("cart_rows", "session_rows", "device_values")])

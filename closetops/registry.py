@@ -229,6 +229,11 @@ def _switch(wh):
     return cart.device_switch(wh.pixel_raw2, wh.products_master_iid, dc, wh.browser_device, wh.devices)
 
 
+def q_profile_cart(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return cart.profile_cart(_cart(wh), _sessions(wh), wh.devices)
+
+
 def q_device_switch(spark, sf_dir):
     return _switch(_wh(spark, sf_dir))
 
@@ -402,6 +407,7 @@ QUERIES = {
     "q_device_switch_summary": q_device_switch_summary,
     "q_first_last_device": q_first_last_device,
     "q_action_devices": q_action_devices,
+    "q_profile_cart": q_profile_cart,
     "q_last_two_status": q_last_two_status,
     "q_transit_fallback": q_transit_fallback,
     "q_unit_maps": q_unit_maps,
