@@ -1,18 +1,49 @@
 """Reusable relational building blocks composed from DataFrame operations."""
 
+from __future__ import annotations
+
+import uuid
+
 from pyspark.sql import DataFrame
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """Materialise an intermediate read by several branches of one plan.
-
-    Spark recomputes a DataFrame for every consumer; a wide join result that
-    feeds a grouped count *and* the join back would be built twice.  The
-    analyses stage such results as tables (CREATE TABLE .. AS); here the rows
-    are written once with ``checkpoint()`` to the session's checkpoint folder
-    (the cluster's shared ``spark.checkpoint.dir``), which also cuts lineage
-    so a lost executor re-reads the stage instead of recomputing the joins.
+    """Write an intermediate that several branches of one plan read, and read it back.
+
+    Spark recomputes a DataFrame for every consumer; a result that feeds a
+    grouped count *and* the join back would be built twice.  The analyses stage
+    such results as tables (CREATE TABLE .. AS); here the rows go once to
+    Parquet in the session's checkpoint folder (the cluster's shared
+    ``spark.checkpoint.dir``).  Readers prune columns and push filters, and a
+    lost executor re-reads the table instead of redoing the joins.  The write
+    is a job of its own, run when this function is called.  The files are
+    deleted when the session's JVM ends, or earlier by :func:`drop_staged`.
     """
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    fs, where = _fs(spark, path)
+    fs.deleteOnExit(where)
+    _STAGED.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_STAGED: list = []
+
+
+def _fs(spark, path):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def drop_staged(spark) -> int:
+    """Delete what :func:`stage` wrote for this session; call it once the
+    results are stored (DataFrames built on the stages can't be read after).
+    Returns the number of tables dropped."""
+    mine = [x for x in _STAGED if x[0] is spark]
+    for x in mine:
+        fs, where = _fs(spark, x[1])
+        fs.delete(where, True)
+        _STAGED.remove(x)
+    return len(mine)
