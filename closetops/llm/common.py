@@ -66,16 +66,13 @@ def _unsettled(star: DataFrame) -> int:
             .where("up > 1 OR (up = 1 AND down = 1)").count())
 
 
-def one_row_per_id(docs: DataFrame, id_col: str) -> DataFrame:
-    """Of rows that repeat an id keep one (the smallest row text); ids are null-safe.
+def one_row_per_id(docs: DataFrame, id_col: str, repeated: DataFrame) -> DataFrame:
+    """Of the rows that share an id keep one; ``repeated`` has these ids (null-safe, one row each).
 
-    Only the rows of repeated ids are shuffled whole: the count per id is narrow.
+    Only the rows of repeated ids are shuffled to be made distinct.
     """
-    ids = docs.groupBy(id_col).count().where("count > 1").select(F.col(id_col).alias("__rep"))
-    again = stage(ids)
-    if again.isEmpty():
+    if repeated.isEmpty():
         return docs
+    ids = repeated.toDF("__rep")
     on = F.col(id_col).eqNullSafe(F.col("__rep"))
-    once = docs.join(again, on, "left_anti")
-    many = docs.join(again, on, "left_semi")
-    return once.unionByName(many.dropDuplicates([id_col]))
+    return docs.join(ids, on, "left_anti").unionByName(docs.join(ids, on, "left_semi").dropDuplicates([id_col]))

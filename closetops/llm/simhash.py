@@ -98,11 +98,11 @@ def _permute(fp: np.ndarray, layout: list[tuple[int, int]]) -> np.ndarray:
 
 
 def _walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, max_bits: int) -> list[tuple[int, int]]:
-    """Positions (i in a, j in b) of a spanning set of the links between two trie nodes.
+    """Stars over the groups that the links between two trie nodes connect: pairs (centre, member) of
+    positions, those of b counted on from those of a (if not the same node).
 
     a and b are sorted and hold the fingerprints below one node each, of the given
-    depth.  Pairs of child nodes whose paths differ in too many bits are pruned.  Of
-    the links only those that join two groups not yet joined are returned.
+    depth.  Pairs of child nodes whose paths differ in too many bits are pruned.
     """
     shift = 0 if same else len(a)
     parent = list(range(len(b) + shift))
@@ -112,7 +112,6 @@ def _walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, max_bits: int) -
             parent[x] = x = parent[parent[x]]
         return x
 
-    found = []
     todo = [(0, len(a), 0, len(b), depth, ((int(a[0]) ^ int(b[0])) >> (BITS - depth)).bit_count())]
     while todo:
         a0, a1, b0, b1, d, err = todo.pop()
@@ -124,7 +123,6 @@ def _walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, max_bits: int) -
                 x, y = root(a0 + i), root(b0 + j + shift)
                 if x != y:
                     parent[max(x, y)] = min(x, y)
-                    found.append((a0 + i, b0 + j))
             continue
         bit = np.uint64(BITS - 1 - d)
         am = a0 + int(np.count_nonzero((a[a0:a1] >> bit) & np.uint64(1) == 0))
@@ -132,13 +130,13 @@ def _walk(a: np.ndarray, b: np.ndarray, same: bool, depth: int, max_bits: int) -
         todo += [(a0, am, b0, bm, d + 1, err), (am, a1, bm, b1, d + 1, err), (a0, am, bm, b1, d + 1, err + 1)]
         if not (same and (a0, a1) == (b0, b1)):  # of a node with itself, one mixed pair of children is enough
             todo.append((am, a1, b0, bm, d + 1, err + 1))
-    return found
+    return [(r, x) for x in range(len(parent)) if (r := root(x)) != x]
 
 
 def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
-    """Links (a, b) between the distinct fingerprints (column fp) that differ in at most
-    ``max_bits`` bits; of dense groups a spanning set, so that the connected groups are
-    those of all such links while no task emits all pairs of a group."""
+    """Pairs (a, b) of the distinct fingerprints (column fp) that connect the same groups as all links
+    of at most ``max_bits`` bits.  Each node pair gives stars instead of its links, so no task emits
+    all pairs of a group, and the groups settle in few rounds."""
     layouts = _layouts(max_bits)
     members = distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(c).alias("c"), F.lit(x[0][1] + x[1][1]).alias("base"), _permuted(x).alias("path"))
@@ -160,8 +158,8 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
                 y = np.asarray(y, np.int64).view(np.uint64)
                 y = y[np.argsort(py := _permute(y, layouts[k]))]
                 py.sort()
-            u, v = x.view(np.int64), y.view(np.int64)
-            out.append([{"a": int(u[i]), "b": int(v[j])} for i, j in _walk(px, py, same, int(d), max_bits)])
+            all_ = (x if same else np.concatenate([x, y])).view(np.int64).tolist()
+            out.append([{"a": all_[i], "b": all_[j]} for i, j in _walk(px, py, same, int(d), max_bits)])
         return pd.Series(out)
 
     depth = F.expr(f"least({BITS}, base + level * {STEP})")
@@ -196,7 +194,7 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     out = found[0]
     for x in found[1:]:
         out = out.unionAll(x)
-    return out.distinct()
+    return out
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -223,10 +221,10 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs`` that stay: of each connected group the one whose id is the
     component's; where that id is on several rows, one of them."""
-    keep = (near_duplicates(docs, id_col, text_col, shingle, max_bits)
-            .where("id <=> component_id").select(F.col("id").alias("__keep")).distinct())
+    keep = stage(near_duplicates(docs, id_col, text_col, shingle, max_bits)
+                 .where("id <=> component_id").groupBy(F.col("id").alias("__keep")).count())
     kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    return one_row_per_id(kept, id_col)
+    return one_row_per_id(kept, id_col, keep.where("count > 1").select("__keep"))
 
 
 def op2(docs: DataFrame) -> DataFrame:
