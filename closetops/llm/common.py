@@ -28,6 +28,10 @@ def word_array(text: Column) -> Column:
 BROADCAST_ROWS = 500_000
 
 
+#: Links of two small values that a task of a contraction round holds.
+LINKS_PER_TASK = 100_000
+
+
 def small(table: DataFrame) -> DataFrame:
     """A staged narrow table, marked for broadcast only if its counted rows are within BROADCAST_ROWS."""
     return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
@@ -46,24 +50,25 @@ def components(links: DataFrame) -> DataFrame:
     a, b = F.col("a"), F.col("b")
     star = stage(links.where(a.isNotNull() & b.isNotNull() & (a != b))
                  .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
-    while _unsettled(star):
+    tasks = -(-star.count() // LINKS_PER_TASK) or 1  # coalesce() only ever lowers the number of tasks
+    while _unsettled(star, tasks):
         both = star.select(a.alias("u"), b.alias("v")).unionAll(star.select(b.alias("u"), a.alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(tasks)
         large = stage(both.join(low, "u").where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
-                      .distinct())
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        star = stage(large.join(low, "a").where("b <> m").select(b.alias("a"), F.col("m").alias("b"))
-                     .unionAll(low.select("a", F.col("m").alias("b"))).distinct())
+                      .coalesce(tasks).distinct().coalesce(tasks))
+        low = large.groupBy("a").agg(F.min("b").alias("m")).coalesce(tasks)
+        star = stage(large.join(low, "a").where("b <> m").select(b.alias("a"), F.col("m").alias("b")).coalesce(tasks)
+                     .unionAll(low.select("a", F.col("m").alias("b"))).distinct().coalesce(tasks))
     return star.select(a.alias("node"), b.alias("component")).unionAll(
-        star.select(b.alias("node"), b.alias("component")).distinct())
+        star.select(b.alias("node"), b.alias("component")).distinct().coalesce(tasks))
 
 
-def _unsettled(star: DataFrame) -> int:
+def _unsettled(star: DataFrame, tasks: int) -> int:
     """Nodes that have two parents, or a parent and a child."""
     return (star.select(F.col("a").alias("n"), F.lit(1).alias("up"), F.lit(0).alias("down"))
             .unionAll(star.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
             .groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-            .where("up > 1 OR (up = 1 AND down = 1)").count())
+            .where("up > 1 OR (up = 1 AND down = 1)").coalesce(tasks).count())
 
 
 def one_row_per_id(docs: DataFrame, id_col: str, repeated: DataFrame) -> DataFrame:
