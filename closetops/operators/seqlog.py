@@ -17,7 +17,6 @@ its window, so the edge join shuffles only the small per-bucket table.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,10 +26,6 @@ from pyspark.sql import types as T
 DEFAULT_SEQ_BUCKET = 1 << 20
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _sentinel(dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.StringType, T.VarcharType, T.CharType)):
         return F.lit("")
@@ -89,10 +84,10 @@ def shift_within(df: DataFrame, keys: list[str], order: list[str], values: dict[
         return df.withColumns({o: fn(F.col(s)).over(w) for o, s in values.items()})
 
     b = "_bkt"
-    x, nk = null_safe_keys(df.withColumn(b, bucket), keys)
+    # In a struct a null bucket (null order value) equals itself in the join back, and sorts first.
+    x, nk = null_safe_keys(df.withColumn(b, F.struct(bucket.alias("v"))), keys)
     part = nk + [b]
-    # One shuffle on (key, bucket): the windows, the edge aggregate and the
-    # join back all read this exchange, so the input is computed once.
+    # The windows and the edge aggregate each shuffle their input on (key, bucket).
     x = x.repartition(*part)
     w = Window.partitionBy(*part).orderBy(*order)
     inner = x.withColumns({**{o: fn(F.col(s)).over(w) for o, s in values.items()},
@@ -162,7 +157,7 @@ def row_number_within(df: DataFrame, keys: list[str], order: list, bucket: Colum
     within a key for a deterministic numbering.
     """
     b = "_rn_b"
-    x, nk = null_safe_keys(df.withColumn(b, bucket), keys)
+    x, nk = null_safe_keys(df.withColumn(b, F.struct(bucket.alias("v"))), keys)  # a null bucket equals itself
     part = nk + [b]
     x = x.repartition(*part)
     inner = x.withColumn("_rn_in", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
