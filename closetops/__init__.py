@@ -8,7 +8,6 @@ operators/  reusable relational building blocks (sequence logs, range joins,
             horizon counts, cumulative sums)
 plans/      one module per report; each function takes DataFrames plus explicit
             parameters and returns a lazy DataFrame
-streaming/  nothing: the reports are batch only
 oracle/     independent DuckDB SQL used to check every plan
 """
 
