@@ -4,17 +4,20 @@ import pytest
 
 import __spark_entry__ as entry
 from closetops.oracle.check import compare, type_mismatches
+from closetops.oracle.queries_sql import SQL
+from closetops.registry import QUERIES
 
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
-
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
 
 
+def test_entry_registers_every_report():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck_small, name):
     df = QUERIES[name](spark, SF_SMALL)
