@@ -2,7 +2,7 @@
 
 A Gaussian kernel over standardised statistics is approximated by random
 Fourier features.  Ridge regression on them needs only their normal
-equations, which each partition sums for its rows and the driver adds up.
+equations, which are summed for parts of the labelled rows and added up by the driver.
 The regression's values are made into probabilities by isotonic regression
 on rows kept out of the fit.
 """
@@ -23,8 +23,8 @@ from ..operators import stage
 
 #: Labelled rows that the fit reads at most, those of the least hash of the id.
 MAX_LABELLED = 20_000
-#: Random features, ridge penalty per row, and tasks that sum the normal equations.
-FEATURES, RIDGE, TASKS = 256, 1e-3, 16
+#: Random features, ridge penalty per row, and parts of the labelled rows that are summed to normal equations.
+FEATURES, RIDGE, PARTS = 256, 1e-3, 16
 SEED = 7
 
 STATISTICS = ("words", "word_length", "word_length_sd", "distinct", "top_word", "same_as_last", "repeated_triples",
@@ -121,19 +121,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not got[0]:
         return model
 
-    def normal(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        a, b, n = np.zeros((FEATURES + 1, FEATURES + 1)), np.zeros(FEATURES + 1), 0
-        for p in parts:
-            if len(p):
-                z = model.features(np.array(p["x"].tolist()))
-                a += z.T @ z
-                b += z.T @ p["label"].to_numpy()
-                n += len(p)
-        yield pd.DataFrame({"a": [a.tobytes()], "b": [b.tobytes()], "n": [n]})
-
-    train = rows.where("NOT keep_out").select("id", "x", "label").repartition(TASKS, "id").sortWithinPartitions("id")
+    def normal(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("id")
+        z = model.features(np.array(p["x"].tolist()))
+        return pd.DataFrame({"part": [key[0]], "a": [(z.T @ z).tobytes()],
+                             "b": [(z.T @ p["label"].to_numpy()).tobytes()], "n": [len(p)]})
+
+    # PARTS sums of at most `bound` rows together, however many partitions there are
+    sums = (rows.where("NOT keep_out").select("id", "x", "label", F.pmod(F.xxhash64("id"), F.lit(PARTS)).alias("part"))
+            .groupBy("part").applyInPandas(normal, "part long, a binary, b binary, n long"))
     a, b, n = np.zeros((FEATURES + 1, FEATURES + 1)), np.zeros(FEATURES + 1), 0
-    for r in train.select("x", "label").mapInPandas(normal, "a binary, b binary, n long").collect():  # TASKS rows
+    for r in sums.orderBy("part").collect():
         a += np.frombuffer(r.a).reshape(a.shape)
         b += np.frombuffer(r.b)
         n += r.n
