@@ -29,14 +29,16 @@ def horizon_counts(probes: DataFrame, events: DataFrame, key: str, anchor: str,
 
     Both bounds are inclusive and the upper bound is midnight of day anchor+N,
     so an event at exactly that midnight counts and later ones that day do not.
-    Assumes ``event_ts`` is a function of ``event_id`` (one time per order).
+    Orders with one time are counted per day.  An order with several times must
+    count once per window, so these (and only these) are joined to the customer's
+    probes and counted by their first time in the window.
     Probes with a NULL key or anchor get no row (callers left-join and read 0).
     """
     ev = (events.select(F.col(key).alias("_k"), F.col(event_id).alias("_id"),
                         F.col(event_ts).alias("_ts"))
-          .filter(F.col("_k").isNotNull() & F.col("_id").isNotNull() & F.col("_ts").isNotNull())
-          .distinct())
-    per_day = ev.groupBy("_k", F.to_date("_ts").alias("_d")).agg(
+          .filter(F.col("_k").isNotNull() & F.col("_id").isNotNull() & F.col("_ts").isNotNull()))
+    orders = ev.groupBy("_k", "_id").agg(F.min("_ts").alias("_ts"), F.max("_ts").alias("_hi"))
+    per_day = orders.filter("_ts = _hi").groupBy("_k", F.to_date("_ts").alias("_d")).agg(
         F.count(F.lit(1)).alias("_n"),
         F.count(F.when(F.col("_ts") == F.to_date("_ts").cast("timestamp_ntz"), 1)).alias("_mid"))
     pr = (probes.select(F.col(key).alias("_k"), F.col(anchor).alias("_a"))
@@ -73,8 +75,19 @@ def horizon_counts(probes: DataFrame, events: DataFrame, key: str, anchor: str,
         # whole days (anchor .. anchor+N-1) plus the orders at midnight of day anchor+N
         cnt = (at(f"hi{n}", "_cn") - at("lo", "_cn")) + (at(f"mid{n}", "_cm") - at(f"hi{n}", "_cm"))
         aggs.append(cnt.cast("bigint").alias(f"{prefix}{n}{suffix}"))
-    return (run.groupBy("_k", "_a").agg(*aggs)
-            .withColumnRenamed("_k", key).withColumnRenamed("_a", anchor))
+    start = F.col("_a").cast("timestamp_ntz")
+
+    def end(n):
+        return F.date_add("_a", n).cast("timestamp_ntz")
+
+    several = (ev.join(orders.filter("_ts < _hi").select("_k", "_id"), ["_k", "_id"], "left_semi")
+               .join(pr, "_k").filter((F.col("_ts") >= start) & (F.col("_ts") <= end(max(horizons))))
+               .groupBy("_k", "_a", "_id").agg(F.min("_ts").alias("_ts")).groupBy("_k", "_a")
+               .agg(*[F.count(F.when(F.col("_ts") <= end(n), 1)).alias(f"_m{n}") for n in horizons]))
+    both = run.groupBy("_k", "_a").agg(*aggs).join(several, ["_k", "_a"], "left")
+    return both.select(F.col("_k").alias(key), F.col("_a").alias(anchor),
+                       *[(F.col(f"{prefix}{n}{suffix}") + F.coalesce(f"_m{n}", F.lit(0))).alias(f"{prefix}{n}{suffix}")
+                         for n in horizons])
 
 
 def cumulative(df: DataFrame, key: str, order: str, value: Column, out: str) -> DataFrame:

@@ -59,12 +59,12 @@ def null_safe_keys(df: DataFrame, keys: list[str], prefix: str = "_nk") -> tuple
 def group_count_back(df: DataFrame, keys: list[str], value: Column, out: str) -> DataFrame:
     """``COUNT(value) OVER (PARTITION BY keys)`` as a grouped count joined back.
 
-    The input is hash-partitioned once on the keys; the count and the join
-    back both read that exchange, and a large group is counted by partial
-    aggregation instead of being held by one window task.
+    A large group is counted by partial aggregation instead of being held by one
+    window task.  The join back has the exchange that Spark plans for it, so
+    adaptive execution can split a hot key (an explicit repartition would stop
+    that).  ``df`` is read twice: pass a stored table or a stage.
     """
     x, nk = null_safe_keys(df, keys)
-    x = x.repartition(*nk)
     cnt = x.groupBy(*nk).agg(F.count(value).alias(out))
     return x.join(cnt, nk, "inner").drop(*nk)
 

@@ -28,7 +28,6 @@ from ..operators import stage
 from ..functions.temporal import elapsed_days, epoch_to_ntz, to_eastern
 
 # Fixed values of the analysis.
-BOT_UIDS = (11141040,)
 BOT_DEVICE = "Suspected Bots"
 ADD_TO_CART = "rezo_add_to_cart"
 CHECKOUT = "checkout_complete"
@@ -84,12 +83,12 @@ def cart_bookings(rb: DataFrame, users: DataFrame, rbd: DataFrame, ogr: DataFram
     x = x.join(std, x["psize"].eqNullSafe(std["_spsize"]), "left")
     return x.select(
         "user_create_date",
-        F.when(r["creation_date"] > F.col("first_order_date"), 0).otherwise(1).alias("new_flg"),
+        F.when(F.col("creation_date") > F.col("first_order_date"), 0).otherwise(1).alias("new_flg"),
         "order_total", "rental_begin_date", "rental_end_date", "standard_size", "style_out", "model",
-        "price", *[r[c] for c in RB_COLS])
+        "price", *RB_COLS)
 
 
-def cart_sessions(rcr: DataFrame, dates: DataFrame, bot_uids=BOT_UIDS) -> DataFrame:
+def cart_sessions(rcr: DataFrame, dates: DataFrame, bot_uids) -> DataFrame:
     """Cart adds grouped per user x fiscal week of the last possible begin date."""
     cal = dates.select("asofdate", "fiscal_week_start")
     x = (rcr.filter((F.col("uid") > 0) & ~F.col("uid").isin(*bot_uids))
@@ -191,16 +190,16 @@ def first_last_device(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: Data
                       lo: str, hi: str) -> DataFrame:
     """First and last (non-bot) device of each session whose first add is in [lo, hi]."""
     c = _device_clicks(pr, bd, devices).filter(F.col("device") != BOT_DEVICE)
+    click = F.struct("datetime_cst", "device")  # clicks at one time are told apart by device
     per_day = c.groupBy(F.col("uid").alias("_cuid"), F.to_date("datetime_cst").alias("_cday")).agg(
-        F.min_by("device", "datetime_cst").alias("_fd"), F.min("datetime_cst").alias("_ft"),
-        F.max_by("device", "datetime_cst").alias("_ld"), F.max("datetime_cst").alias("_lt"))
+        F.min(click).alias("_first"), F.max(click).alias("_last"))
     s = sc.filter(F.col("first_addto_SC").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
     x = _session_days(s).join(per_day, (F.col("uid") == per_day["_cuid"]) & (F.col("_day") == per_day["_cday"]),
                               "inner")
     keys = ["uid", "LPD_week_start", "style_count", "first_order", "first_addto_SC"]
     return (x.groupBy(*keys)
-            .agg(F.min_by("_fd", "_ft").alias("start_device"), F.max_by("_ld", "_lt").alias("last_device"))
-            .select("start_device", "last_device", *keys))
+            .agg(F.min("_first").alias("_first"), F.max("_last").alias("_last"))
+            .select(F.col("_first.device").alias("start_device"), F.col("_last.device").alias("last_device"), *keys))
 
 
 def action_devices(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFrame:

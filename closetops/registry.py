@@ -175,7 +175,7 @@ def _cart(wh):
 
 
 def _sessions(wh):
-    return cart.cart_sessions(_cart(wh), wh.dates)
+    return cart.cart_sessions(_cart(wh), wh.dates, BOT_UIDS)
 
 
 def q_cart_bookings(spark, sf_dir):
@@ -366,6 +366,7 @@ def q_tax_entries(spark, sf_dir):
                            wh.finance_current_view_inventory, wh.shipment, wh.dates)
 
 
+BOT_UIDS = (11141040,)  # accounts of click bots
 PREVIEW_ROWS = 200
 
 

@@ -18,9 +18,6 @@ from pyspark.sql import functions as F
 DEFAULT_START = "1990-01-01"
 DEFAULT_END = "2030-12-31"
 
-# Weeks before each month inside a 13-week quarter (4-5-4 pattern).
-_MONTH_WEEK_OFFSETS = (0, 4, 9)
-
 
 def fiscal_year_start(year: Column) -> Column:
     feb4 = F.make_date(year, F.lit(2), F.lit(4))

@@ -30,6 +30,9 @@ def test_horizon_counts_equal_pairwise(spark):
     for _ in range(300):
         rows.append((rng.randint(3, 8), oid, dt.datetime(2020, 1, 1) + dt.timedelta(minutes=rng.randint(0, 60 * 24 * 500))))
         oid += 1
+    # orders with several times count once in a window
+    several = [(u, o, t + dt.timedelta(days=d)) for u, o, t in rows[::9] for d in (3, 3, 45, 170)]
+    rows += [(1, None, rows[0][2]), (None, 1, rows[0][2]), (1, 0, None), *several]
     orders = spark.createDataFrame(rows, "uid bigint, order_id bigint, ts timestamp_ntz")
     probes = spark.createDataFrame([(u, base + dt.timedelta(days=d)) for u in range(1, 10) for d in (0, 17, 200)]
                                    + [(None, base), (4, None)], "uid bigint, rbd date")
