@@ -191,6 +191,35 @@ def test_op8_against_brute_force(spark):
     assert {r.doc_id: r.text for r in linededup.op8(docs).collect()} == want and len(gone) > 20
 
 
+def test_op8_lines_at_the_similarity_are_found(spark):
+    """Held against brute force on the edit similarity alone: one word of 8 to 80 replaced."""
+    rng = np.random.default_rng(5)
+    def word():
+        return "".join(rng.choice(list("abcdefghijklmnoprstuvwy"), rng.integers(3, 9)))
+
+    def edits(a, b):
+        row = np.arange(len(b) + 1)
+        for i, x in enumerate(a, 1):
+            new = np.minimum(row[:-1] + (np.array(list(b)) != x), row[1:] + 1)
+            new = np.concatenate(([i], new))
+            row = np.minimum.accumulate(new - np.arange(len(new))) + np.arange(len(new))
+        return row[-1]
+    pairs = []
+    for n in (8, 10, 15, 20, 30, 50, 80):
+        for _ in range(20):
+            a = [word() for _ in range(n)]
+            b = list(a)
+            b[rng.integers(n)] = word()
+            pairs.append((" ".join(a), " ".join(b)))
+    near = [edits(a, b) <= 0.2 * max(len(a), len(b)) + 1e-9 for a, b in pairs]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(x for p in pairs for x in p)], "doc_id long, text string")
+    kept = {r.doc_id: r.n_kept for r in linededup.op8(docs).collect()}
+    assert all(kept[2 * i] == 1 for i in range(len(pairs)))
+    gone = [kept[2 * i + 1] == 0 for i in range(len(pairs))]
+    assert not any(g and not n for g, n in zip(gone, near))
+    assert sum(near) > 120 and sum(gone) >= 0.97 * sum(near)
+
+
 def test_op9(spark):
     page = ('<html><head><title>t</title></head><body><header>top</header><nav><a>m</a></nav><div class="cookie-notice">n</div>'
             '<article><h1>T &amp; {0}</h1><p>a  b<br>c<p>d<div class="comments">no</div></article><footer>f</footer>')
