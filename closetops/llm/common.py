@@ -69,15 +69,3 @@ def _unsettled(star: DataFrame, tasks: int) -> int:
             .unionAll(star.select(F.col("b").alias("n"), F.lit(0).alias("up"), F.lit(1).alias("down")))
             .groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
             .where("up > 1 OR (up = 1 AND down = 1)").coalesce(tasks).count())
-
-
-def one_row_per_id(docs: DataFrame, id_col: str, repeated: DataFrame) -> DataFrame:
-    """Of the rows that share an id keep one; ``repeated`` has these ids (null-safe, one row each).
-
-    Only the rows of repeated ids are shuffled to be made distinct.
-    """
-    if repeated.isEmpty():
-        return docs
-    ids = repeated.toDF("__rep")
-    on = F.col(id_col).eqNullSafe(F.col("__rep"))
-    return docs.join(ids, on, "left_anti").unionByName(docs.join(ids, on, "left_semi").dropDuplicates([id_col]))

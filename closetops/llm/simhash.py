@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..operators import stage
-from .common import components, one_row_per_id
+from .common import components
 
 BITS = 64
 #: Largest node (fingerprints) that a task walks; larger ones are expanded by joins first.
@@ -59,15 +59,19 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp long): A-Z lower-cased, words between ASCII white space, word shingles with
-    repeats (a shorter text: one shingle of all its words), XXH64 with seed 42; a bit is 1
-    if it is set in over half the hashes.  Null, empty and blank texts have fingerprint 0."""
+def _fp(shingle: int):
     @pandas_udf("long")
     def fp(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
             yield pd.Series(np.array([fingerprint(t, shingle) for t in s], np.uint64).view(np.int64))
-    return docs.select(F.col(id_col).alias("id"), fp(F.col(text_col)).alias("fp"))
+    return fp
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """(id, fp long): A-Z lower-cased, words between ASCII white space, word shingles with
+    repeats (a shorter text: one shingle of all its words), XXH64 with seed 42; a bit is 1
+    if it is set in over half the hashes.  Null, empty and blank texts have fingerprint 0."""
+    return docs.select(F.col(id_col).alias("id"), _fp(shingle)(F.col(text_col)).alias("fp"))
 
 
 def _layouts(max_bits: int) -> list[list[tuple[int, int]]]:
@@ -197,6 +201,18 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
     return out
 
 
+def _grouped(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, head, component_id) of each distinct fingerprint of ``fps`` (id, fp): the least fingerprint of its
+    component and the least id there."""
+    distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("first")))
+    comp = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
+    comp = comp.join(distinct, "fp")
+    least = comp.groupBy("component").agg(F.min("first").alias("least"))
+    grouped = comp.join(least, "component").select("fp", "component", "least")
+    return distinct.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("component", "fp").alias("head"), F.coalesce("least", "first").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """One row per input row: (id, fp, component_id), the smallest id that is reachable over
@@ -207,24 +223,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns of ``docs`` are ignored, whatever their names.
     """
     fps = stage(fingerprints(docs, id_col, text_col, shingle))
-    distinct = stage(fps.groupBy("fp").agg(F.min("id").alias("first")))
-    comp = components(links(distinct, max_bits)).withColumnRenamed("node", "fp")
-    comp = comp.join(distinct, "fp")
-    least = comp.groupBy("component").agg(F.min("first").alias("least"))
-    grouped = comp.join(least, "component").select("fp", "least")
-    known = distinct.join(grouped, "fp", "left").select(
-        "fp", F.coalesce("least", "first").alias("component_id"))
-    return fps.join(known, "fp").select("id", "fp", "component_id")
+    return fps.join(_grouped(fps, max_bits).drop("head"), "fp").select("id", "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay: of each connected group the one whose id is the
-    component's; where that id is on several rows, one of them."""
-    keep = stage(near_duplicates(docs, id_col, text_col, shingle, max_bits)
-                 .where("id <=> component_id").groupBy(F.col("id").alias("__keep")).count())
-    kept = docs.join(keep, F.col(id_col).eqNullSafe(F.col("__keep")), "left_semi")
-    return one_row_per_id(kept, id_col, keep.where("count > 1").select("__keep"))
+    """The rows of ``docs`` that stay: of each connected group exactly one, whatever the ids.
+
+    It is a row with the least id of the group (null only if all are), of these one with the least
+    fingerprint.  Rows that share an id are told apart by their fingerprint; of equal ones any stays.
+    """
+    fps = stage(fingerprints(docs, id_col, text_col, shingle))
+    heads = (fps.join(_grouped(fps, max_bits), "fp").where("id <=> component_id")
+             .groupBy("head").agg(F.first("id").alias("__keep"), F.min("fp").alias("__fp")))
+    # an id on one row of the input needs no fingerprint; the others' are worked out again
+    keep = stage(heads.select("__keep", "__fp"))
+    held = stage(fps.join(keep, F.col("id").eqNullSafe(F.col("__keep")), "left_semi").groupBy("id").count()
+                 .where("count > 1").select(F.col("id").alias("__rep")))
+    once = keep.join(held, F.col("__keep").eqNullSafe(F.col("__rep")), "left_anti")
+    on = F.col(id_col).eqNullSafe(F.col("__keep"))
+    kept = docs.join(once, on, "left_semi")
+    if held.isEmpty():
+        return kept
+    again = docs.join(held, F.col(id_col).eqNullSafe(F.col("__rep")), "left_semi")
+    with_fp = again.select("*", _fp(shingle)(F.col(text_col)).alias("__f"))
+    one = with_fp.join(keep, on & (F.col("__f") == F.col("__fp")), "left_semi")
+    return kept.unionByName(one.dropDuplicates([id_col, "__f"]).drop("__f"))
 
 
 def op2(docs: DataFrame) -> DataFrame:

@@ -66,6 +66,17 @@ def test_op2(docs, rows):
     assert len(kept) == len(set(group))
 
 
+def test_drop_near_duplicates_keeps_one_row_of_each_group(spark):
+    """Groups of null ids only, an id that leads two groups, one that leads one group and is in another, copies."""
+    rows = [(None, PROSE[0]), (None, PROSE[1]), (None, PROSE[2]), (None, PROSE[2]), (1, PROSE[3]), (1, PROSE[4]), (2, PROSE[4]),
+            (3, PROSE[5]), (5, PROSE[5]), (5, PROSE[6]), (6, PROSE[7]), (6, PROSE[7]), (None, PROSE[7]), (None, PROSE[8]), (9, PROSE[8]),
+            (0, PROSE[9]), (4, PROSE[9]), (4, PROSE[10]), (7, PROSE[10])]
+    assert all((fp(a) ^ fp(b)).bit_count() > 3 for i, a in enumerate(PROSE[:11]) for b in PROSE[:i])
+    kept = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(min((i for i, t in rows if t == p and i is not None), default=None), p) for p in PROSE[:11]]
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, want))
+
+
 def test_op2_dense_ball_is_expanded(spark, monkeypatch):
     from closetops.llm.common import components
     monkeypatch.setattr(simhash, "NODE_LIMIT", 16)
