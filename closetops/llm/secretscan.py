@@ -38,12 +38,14 @@ UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
-def is_identifier(run: str) -> bool:
-    """Numbers, and names of words and numbers in camel case or joined by marks: parts of three characters or more on average."""
+def is_identifier(run: str, n_tokens, ratio: float = RATIO) -> bool:
+    """Numbers, and names of words and numbers in camel case or joined by marks: parts of three characters or more on
+    average, and each part of letters one token or with as many characters per token as a run that isn't random."""
     parts = PART.findall(run)
     letters = [p for p in parts if not p.isdigit()]
     return not letters or (sum(map(len, parts)) >= 3 * len(parts) and max(map(len, letters)) >= 4
-                           and sum(p.isdigit() for p in parts) <= 2)
+                           and sum(p.isdigit() for p in parts) <= 2
+                           and all((n := n_tokens(p)) == 1 or len(p) >= ratio * n for p in letters))
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -63,7 +65,7 @@ def random_spans(text: str, n_tokens, taken: list[tuple[str, int, int]], ratio:
         run, a, b = m[0], m.start(), m.end()
         if any(x < b and a < y for _, x, y in taken) or DIGEST.fullmatch(run) or UUID.fullmatch(run):
             continue
-        if not run.isdigit() and len(run) < ratio * n_tokens(run) and not is_identifier(run):
+        if not run.isdigit() and len(run) < ratio * n_tokens(run) and not is_identifier(run, n_tokens, ratio):
             out.append(("random", a, b))
     return out
 

@@ -249,6 +249,20 @@ def test_op10(spark):
     assert [s.split(":")[0] for s in one.spans.split(",")] == ["assign", "access", "hex", "random"]
 
 
+def test_op10_finds_random_letters():
+    n_tokens, rng = secretscan.encoder(secretscan.VOCABULARY), np.random.default_rng(4)
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for letters in (lower, upper, lower + upper, upper + "234567", lower + "0123456789"):
+        for n in (16, 20, 44):
+            runs = ["".join(rng.choice(list(letters), n)) for _ in range(100)]
+            random = [r for r in runs if len(r) < secretscan.RATIO * n_tokens(r)]
+            found = [r for r in random if secretscan.random_spans(r, n_tokens, [])]
+            assert len(random) >= 80 and len(found) >= 0.98 * len(random)
+    for name in ("someLongIdentifierName", "MAX_CONNECTION_TIMEOUT", "HTTPSConnectionPool2", "internationalization_i18n",
+                 "user_id_from_session2", "path/to/some/file/name", "thread-pool-executor-factory"):
+        assert not secretscan.random_spans(name, n_tokens, [])
+
+
 def test_empty_tables(docs):
     none = docs.limit(0)
     for f in (mixing.op1, simhash.op2, cascade.op4, sharding.op5, linededup.op8, secretscan.op10):
