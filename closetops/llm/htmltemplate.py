@@ -1,4 +1,7 @@
-"""Main text of web pages by deducing each host's template.
+"""Main text of web pages by deducing the templates of each host.
+
+Pages of a host with the same outer elements share a template; a page that is alone with its own
+takes what all pages of the host give.
 
 A page is read as a sequence of tokens: start tags named by their path from the
 root (with class, id and role), and literal texts named by path and hash.  Two
@@ -6,9 +9,9 @@ tokens of a host belong to one equivalence class if they occur equally often
 on each of its pages, that is, share their occurrence vector.  The vectors are
 never gathered: a sum over the pages of a hash of (page, count) stands for
 each, so the classes of a host of any size come from grouped sums.  Classes that are large and frequent are the template;
-they nest as their paths do.  The slot of the template that holds the article is
-chosen per host, and what the pages have in that slot, less the parts that
-are marked as something else, is their main text.
+they nest as their paths do (their order is not checked).  The one slot of the template that holds the article is
+chosen per group of pages, and what the pages have in that slot, less literal texts of the template
+and the parts below it that are marked as something else, is their main text.
 """
 
 from __future__ import annotations
@@ -28,9 +31,13 @@ from ..operators import stage
 
 #: A class is part of the template if it has at least this many tokens and occurs on this part of the host's pages.
 CLASS_TOKENS, SUPPORT = 2, 0.5
-#: Part of a host's text that a slot holds if nothing names it; part of the pages (and least number of them) that
-#: have a literal text of the template.
-FULL, SAME_PAGES = 0.9, 5
+#: Part of a group's text that a slot holds if nothing names it; part of the pages that have a literal text of the
+#: template; least number of different pages of a group.
+FULL, SAME_PAGES = 0.9, 2
+#: A slot inside an element with a marked class must hold more text than this many times what is in no such element.
+MARKED_SLOT = 2
+#: Elements whose paths, to this depth and outside articles, tell the groups of pages.
+OUTER, OUTER_DEPTH = {"div", "section", "article", "main", "header", "footer", "nav", "aside", "table", "form"}, 4
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[A-Za-z][^<>]*(?:>|(?=<)|\Z)", re.S)
@@ -62,43 +69,47 @@ BARRIER = {"html", "body", "article", "main", "section", "div", "table", "ul", "
 
 
 class Node:
-    """An open element: its tag, path of names with marks, and whether its content is something other than the article."""
+    """An open element: its tag, path of names with marks, whether its tag or that of one around it says that its content
+    is something other than the article, and the path of the innermost one whose class, id or role does ("" if none)."""
 
-    __slots__ = ("tag", "path", "other")
+    __slots__ = ("tag", "path", "other", "mark")
 
-    def __init__(self, tag: str, path: str, other: bool):
-        self.tag, self.path, self.other = tag, path, other
+    def __init__(self, tag: str, path: str, other: bool, mark: str):
+        self.tag, self.path, self.other, self.mark = tag, path, other, mark
 
 
 def _node(parent: Node, tag: str, source: str) -> Node:
     marks = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(source) if k.lower() in MARKS}
     name = ".".join([tag, *sorted(f"{k}={v}".replace("/", "|").replace("#", "|") for k, v in marks.items())])
-    said = any(MARKED.search(v) for v in marks.values())
-    header = (tag == "header" or any(map(HEADER.search, marks.values()))) and not re.search(r"/(article|main)\b", parent.path)
+    outside = not re.search(r"/(article|main)\b", parent.path)
+    said = any(MARKED.search(v) for v in marks.values()) or outside and any(map(HEADER.search, marks.values()))
     hidden = re.search(r"\s(?:hidden|aria-hidden\s*=\s*.?true)(?:[\s=/>]|$)", source) is not None
     body = tag in ("html", "body", "article", "main")  # a marked body is still the page
-    return Node(tag, f"{parent.path}/{name}", parent.other or tag in OTHER or ((said or header or hidden) and not body))
+    path = f"{parent.path}/{name}"
+    return Node(tag, path, parent.other or tag in OTHER or ((tag == "header" and outside or hidden) and not body),
+                path if said and not body else parent.mark)
 
 
-def read(page: str) -> tuple[Counter, list[tuple[str, str, bool]]]:
-    """Count of start tags by path; blocks (path, raw text with references decoded, other) in page order."""
+def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
+    """Count of start tags by path; blocks (path, raw text with references decoded, mark) in page order, without those
+    that are something other than the article by their tags."""
     tags: Counter = Counter()
-    blocks: list[tuple[str, str, bool]] = []
-    open_ = [Node("", "", False)]
+    blocks: list[tuple[str, str, str]] = []
+    open_ = [Node("", "", False, "")]
     text: list[str] = []
     block_of = [open_[0]]
 
     def flush():
         if text:
             said = " ".join("".join(text).split())
-            if said:
-                blocks.append((block_of[0].path, said, block_of[0].other))
+            if said and not block_of[0].other:
+                blocks.append((block_of[0].path, said, block_of[0].mark))
             text.clear()
 
     def say(raw: str):
         if raw:
             top = open_[-1]
-            if text and top.other != block_of[0].other:  # a marked inline element is a block of its own
+            if text and (top.other, top.mark) != (block_of[0].other, block_of[0].mark):  # a marked inline element is a block of its own
                 flush()
             if not text:
                 block_of[0] = top
@@ -157,75 +168,120 @@ def _literal(path: str, text: str) -> str:
     return f"{path}#{xxhash.xxh64_hexdigest(text)}"
 
 
-def _tokens(page: str | None) -> list[tuple[str, int, int]]:
-    """(token, occurrences, characters of article candidates below or in it) of one page."""
+def _structure(page: str | None) -> int:
+    """A hash of the set of paths of a page's outer elements; digits count alike."""
+    tags, _ = read(page or "")
+    outer = {p for p in tags if p.count("/") <= OUTER_DEPTH and re.split(r"[.#]", p.rpartition("/")[2])[0] in OUTER
+             and not re.search(r"/(article|main)\b[^/]*/", p)}
+    return xxhash.xxh64_intdigest("\n".join(sorted(re.sub("[0-9]+", "0", p) for p in outer))) - 2**63
+
+
+def _tokens(page: str | None) -> list[tuple[str, int, int, int]]:
+    """(token, occurrences, characters below or in it that no element below it marks, characters in no marked element)
+    of one page; the token ! with the page's hash tells different pages."""
     tags, blocks = read(page or "")
     below: Counter = Counter()
+    free: Counter = Counter()
     literals: Counter = Counter()
-    for path, said, other in blocks:
-        if not other:
-            literals[_literal(path, said)] += 1
-            below[_literal(path, said)] += len(said)
-            while path:
-                below[path] += len(said)
-                path = path.rpartition("/")[0]
-    return [(t, n, below[t]) for t, n in (tags + literals).items()]
+    for path, said, mark in blocks:
+        token = _literal(path, said)
+        literals[token] += 1
+        free[token] += 0 if mark else len(said)
+        below[token] += len(said)
+        while path and len(path) >= len(mark):
+            below[path] += len(said)
+            path = path.rpartition("/")[0]
+    return [("!" + xxhash.xxh64_hexdigest(page or ""), 1, 0, 0), *((t, n, below[t], free[t]) for t, n in (tags + literals).items())]
 
 
 def host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"//([^/:?#]+)", 1)), F.lit(""))
 
 
-def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, slot, same): the path of the slot that holds the article, and the literal texts of the
-    template outside article and main elements (the template's size bounds them); null if there is none."""
-    @pandas_udf("array<struct<token:string,n:long,chars:long>>")
-    def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield pd.Series([[{"token": t, "n": n, "chars": c} for t, n, c in _tokens(p)] for p in s])
-
-    seen = (pages.select(host(F.col(url_col)).alias("host"), F.xxhash64(F.col(id_col), F.col(html_col)).alias("page"),
-                         F.col(html_col).alias("html"))
-            .select("host", "page", F.explode(tokens("html")).alias("t")).select("host", "page", "t.*"))
-    vectors = stage(seen.groupBy("host", "token").agg(
-        F.count("*").alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars"),
-        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector"))
-        .withColumn("literal", F.col("token").contains("#")))
-    size = vectors.groupBy("host").agg(F.max("support").alias("pages"),
-                                       F.sum(F.when(F.col("literal"), F.col("chars")).otherwise(0)).alias("total"))
-    classes = (vectors.groupBy("host", "vector", "support", "n").agg(F.count("*").alias("tokens"))
-               .join(size, "host").where(f"pages > 1 AND tokens >= {CLASS_TOKENS} AND support >= {SUPPORT} * pages")
-               .select("host", "vector", "pages", "total"))
-    fixed = vectors.join(classes, ["host", "vector"])
+def _slots(vectors: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, slot, same) from the vectors (*by, token, support, n, chars, free, vector) of each group of pages that
+    has at least SAME_PAGES different ones."""
+    literal, page = F.col("token").contains("#"), F.col("token").startswith("!")
+    vectors = vectors.withColumn("literal", literal)
+    size = (vectors.groupBy(*by).agg(F.sum(F.when(page, F.col("support"))).alias("pages"), F.sum("free").alias("free_all"),
+                                     F.count_if(page).alias("different"))
+            .where(f"different >= {SAME_PAGES}"))
+    vectors = vectors.where(~page)
+    classes = (vectors.groupBy(*by, "vector", "support", "n").agg(F.count("*").alias("tokens"))
+               .join(size, by).where(f"tokens >= {CLASS_TOKENS} AND support >= {SUPPORT} * pages")
+               .select(*by, "vector", "pages", "free_all"))
+    fixed = vectors.join(classes, [*by, "vector"])
     last = F.regexp_extract("token", r"/([^/.]+)[^/]*$", 1)
     named = last.isin("article", "main") | F.col("token").rlike(r"role=(main|article)[^/]*$")
     depth = F.length(F.regexp_replace("token", "[^/]", ""))
+    marked = F.udf(_marked, "boolean")("token")
     # a slot is a tag that each page has once: an article or main element (an article before a main, the outer of
-    # nested ones), else the deepest that holds nearly all text of the host
-    slots = (fixed.where("NOT literal AND n = support AND chars > 0")
-             .withColumn("named", named).where(F.col("named") | (F.col("chars") >= FULL * F.col("total")))
+    # nested ones), else the deepest that holds nearly all text of the group
+    tags = (fixed.where("NOT literal AND n = support AND chars > 0")
+            .withColumn("named", named).withColumn("marked", marked)
+            .where(f"NOT marked OR chars > {MARKED_SLOT} * free_all"))
+    most = tags.groupBy(*by).agg(F.max("chars").alias("total"))
+    slots = (tags.join(most, by).where(F.col("named") | (F.col("chars") >= FULL * F.col("total")))
              .withColumn("rank", F.struct("named", (last == "article").alias("article"),
                                           F.when(F.col("named"), -depth).otherwise(depth).alias("depth"), "chars", "token"))
-             .groupBy("host").agg(F.max_by("token", "rank").alias("slot")))
+             .groupBy(*by).agg(F.max_by("token", "rank").alias("slot")))
     inside = F.col("token").rlike(r"/(article|main)[./#]|role=(main|article)")
-    same = (fixed.where(f"literal AND pages >= {SAME_PAGES} AND support >= {FULL} * pages").where(~inside)
-            .groupBy("host").agg(F.collect_list("token").alias("same")))
-    return slots.join(same, "host", "full")
+    same = (fixed.where(f"literal AND support >= {FULL} * pages").where(~inside)
+            .groupBy(*by).agg(F.collect_list("token").alias("same")))
+    return size.select(*by).join(slots, by, "left").join(same, by, "left")
+
+
+def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """(host, structure, slot, same) and, over all pages of a host, (host, slot, same): the path of the slot that holds
+    the article, and the literal texts of the template outside article and main elements (the template's size
+    bounds them); null if there is none."""
+    @pandas_udf("structure long, tokens array<struct<token:string,n:long,chars:long,free:long>>")
+    def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in parts:
+            yield pd.DataFrame({"structure": [_structure(p) for p in s], "tokens": [
+                [{"token": t, "n": n, "chars": c, "free": f} for t, n, c, f in _tokens(p)] for p in s]})
+
+    seen = (pages.select(host(F.col(url_col)).alias("host"), F.xxhash64(F.col(id_col), F.col(html_col)).alias("page"),
+                         tokens(F.col(html_col)).alias("p"))
+            .select("host", "page", "p.structure", F.explode("p.tokens").alias("t")).select("host", "page", "structure", "t.*"))
+    vectors = stage(seen.groupBy("host", "structure", "token").agg(
+        F.count("*").alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("free").alias("free"),
+        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector")))
+    whole = vectors.groupBy("host", "token").agg(
+        *[F.sum(c).alias(c) for c in ("support", "n", "chars", "free")], F.sum("vector").cast("decimal(38,0)").alias("vector"))
+    return _slots(vectors, ["host", "structure"]), _slots(whole, ["host"])
+
+
+def _marked(path: str) -> bool:
+    """Whether a class, id or role on the path marks its content as something else."""
+    names = [n for n in path.split("/") if n.partition(".")[0] not in ("html", "body", "article", "main")]
+    return any(MARKED.search(v) or HEADER.search(v) for n in names for v in re.findall(r"\.(?:class|id|role)=(.*?)(?=\.(?:class|id|role)=|$)", n))
 
 
 def main_text(page: str | None, slot: str | None, same=()) -> str:
-    """Blocks in the slot that are not marked as something else, joined by line feeds.  Without the
-    slot: those in article elements, else in main elements, else all of the page.  Literal texts
+    """Blocks in the slot that no element below it marks as something else (if all are, those too), joined by line feeds.
+    Without the slot: those in article elements, else in main elements, else all of the page.  Literal texts
     ``same`` of the template are no content."""
     _, blocks = read(page or "")
     same = set(same if same is not None else ())
-    mine = [(p, s) for p, s, other in blocks if not other and not (same and _literal(p, s) in same)]
-    for inside in ((lambda p: slot is not None and (p + "/").startswith(slot + "/")),
-                   (lambda p: re.search(r"/article[./]", p + "/")), (lambda p: re.search(r"/main[./]|role=main", p + "/"))):
-        got = [s for p, s in mine if inside(p)]
+    mine = [(p, s, m) for p, s, m in blocks if not (same and _literal(p, s) in same)]
+
+    def under(top: str, path: str) -> bool:
+        return path.startswith(top) and path[len(top):][:1] in ("", "/")
+
+    def named(pattern):
+        def top(path):
+            m = re.match(rf"(?:/[^/]*)*?/(?:{pattern})(?=/|$)", path)
+            return m and m[0]
+        return top
+    for top in ((lambda p: slot if slot is not None and under(slot, p) else None),
+                named(r"article(?:\.[^/]*)?"), named(r"main(?:\.[^/]*)?|[^/]*role=main[^/]*"), lambda p: ""):
+        got = [(s, len(m) > len(t)) for p, s, m in mine if (t := top(p)) is not None]
         if got:
-            return "\n".join(got)
-    return "\n".join(s for _, s in mine)
+            said = [s for s, marked in got if not marked]
+            if said or top("/") != "":
+                return "\n".join(said or [s for s, _ in got])
+    return ""
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -240,11 +296,21 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for columns in parts:
             yield pd.Series([main_text(*x) for x in zip(*columns)], dtype=object)
 
-    known = templates(pages, id_col, url_col, html_col).withColumnRenamed("host", "h")
+    @pandas_udf("long")
+    def structure(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in parts:
+            yield pd.Series([_structure(p) for p in s], dtype="int64")
+
+    groups, hosts = templates(pages, id_col, url_col, html_col)
+    groups = groups.selectExpr("host AS h", "structure AS g", "slot AS group_slot", "same AS group_same")
+    hosts = hosts.selectExpr("host AS hh", "slot AS host_slot", "same AS host_same")
+    alone = F.col("h").isNull()
     return (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-                         host(F.col(url_col)).alias("host"))
-            .join(known, F.col("host") == F.col("h"), "left")
-            .select("id", "url", text("html", "slot", "same").alias("text")))
+                         host(F.col(url_col)).alias("host"), structure(F.col(html_col)).alias("structure"))
+            .join(groups, (F.col("host") == F.col("h")) & (F.col("structure") == F.col("g")), "left")
+            .join(hosts, F.col("host") == F.col("hh"), "left")
+            .select("id", "url", text("html", F.when(alone, F.col("host_slot")).otherwise(F.col("group_slot")),
+                                      F.when(alone, F.col("host_same")).otherwise(F.col("group_same"))).alias("text")))
 
 
 def op9(pages: DataFrame) -> DataFrame:
