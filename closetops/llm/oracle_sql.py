@@ -8,6 +8,29 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _TIMES = "CASE shape " + " ".join(f"WHEN {i} THEN {inverse_sql('u', s)}" for i, s in enumerate(CURRICULA)) + " END"
 
+#: Rows of a table ``crc_bytes`` (one list): the CRC-32 step of each byte, from its polynomial.
+_CRC_BYTES = """crc_bytes AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+                          lambda c, bit: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(256))::BIGINT AS i))"""
+
+
+def _crc32(octets: str) -> str:
+    """Unsigned CRC-32 of a list of byte values, ``steps`` being in scope."""
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {octets}), "
+            "lambda c, o: xor(c >> 8, steps[(xor(c, o) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def _ascii(text: str) -> str:
+    return f"list_transform(string_split({text}, ''), lambda ch: ascii(ch)::BIGINT)"
+
+
+def _utf8(text: str) -> str:
+    """The UTF-8 bytes of characters up to U+00FF."""
+    return (f"flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN unicode(ch) < 128 "
+            "THEN [unicode(ch)::BIGINT] ELSE [(192 | (unicode(ch) >> 6))::BIGINT, (128 | (unicode(ch) & 63))::BIGINT] END))")
+
+
 SQL: dict[str, str] = {
     "op1_mixing": f"""
 WITH sized AS (
@@ -93,4 +116,68 @@ hit AS (SELECT doc_id, item_id, count(*) AS n_shared FROM dg JOIN ig USING (k, s
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item::DOUBLE AS containment
 FROM hit JOIN n USING (item_id) WHERE n_shared / n_item::DOUBLE >= 0.8
 """,
+    "op12_conversation_trie": f"""
+WITH {_CRC_BYTES},
+own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heirs AS (
+  SELECT conv_id, turns, {_crc32(_ascii("conv_id::VARCHAR"))} % 4 AS h FROM own, crc_bytes),
+seqs AS (
+  SELECT c.conv_id, list_concat(coalesce(d.turns[1:h], []), c.turns[h + 1:]) AS seq
+  FROM heirs c LEFT JOIN own d ON d.conv_id = c.conv_id - c.conv_id % 20),
+steps AS (
+  SELECT conv_id, seq[1:d] AS node, d AS depth, d = len(seq) AS ends
+  FROM (SELECT *, unnest(range(len(seq) + 1)) AS d FROM seqs)),
+nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256,
+         (count(*) - 1) * CASE WHEN depth = 0 THEN 0
+                               ELSE len({WORDS.replace("text", "node[depth].t")}) END AS worth
+  FROM steps GROUP BY node, depth),
+children AS (
+  SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+  SELECT x.node[1:d] AS node, sum(x.worth) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM (SELECT *, unnest(range(depth + 1)) AS d FROM nodes) x LEFT JOIN children c ON c.node = x.node GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0)::BIGINT AS n_children,
+       b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN children c ON c.node = n.node
+LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1 AND p.node = n.node[1:n.depth - 1]""",
+    "op13_spelling_variants": f"""
+WITH RECURSIVE {_CRC_BYTES},
+held AS (
+  SELECT doc_id, run, count(*) AS k
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run
+        FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT run, k, len(run) AS n, {_crc32(_utf8("(coalesce(doc_id::VARCHAR, '') || ':' || run)"))} AS h
+  FROM held, crc_bytes WHERE len(run) >= 6),
+vocabulary AS (
+  SELECT word, sum(k)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN run[1:h % n] || run[h % n + 2:] ELSE run END AS word, k FROM hashed)
+  WHERE len(word) >= 6 GROUP BY word HAVING sum(k) >= 5),
+cut AS (
+  SELECT word, i, word[1:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, unnest(range(1, len(word) + 1)) AS i FROM vocabulary)),
+pairs AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT a.word, v.word FROM cut a JOIN vocabulary v ON v.word = a.rest
+  UNION SELECT v.word, a.word FROM cut a JOIN vocabulary v ON v.word = a.rest),
+best AS (
+  SELECT p.word, count(*) AS n_near, min({{'m': -v.n, 'w': encode(p.other)}}) AS top
+  FROM pairs p JOIN vocabulary v ON v.word = p.other GROUP BY p.word),
+formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN -top.m >= 5 * v.n THEN decode(top.w) END AS form, CASE WHEN -top.m >= 5 * v.n THEN -top.m END AS form_n
+  FROM vocabulary v LEFT JOIN best b USING (word)),
+ways(word, root, next) AS (
+  SELECT word, word, form FROM formed
+  UNION ALL
+  SELECT w.word, w.next, f.form FROM ways w JOIN formed f ON f.word = w.next)
+SELECT f.word, form, w.root, n, n_near, form_n
+FROM formed f JOIN ways w ON w.word = f.word AND w.next IS NULL""",
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (cascade, classifier, decontaminate, htmltemplate, linededup, mixing, secretscan, sharding, simhash, warc)
+from . import (cascade, classifier, convtrie, decontaminate, htmltemplate, linededup, mixing, secretscan, sharding, simhash,
+               spelling, suffixtree, warc)
 from .oracle_sql import SQL as _SQL
 
 
@@ -26,6 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": _over(linededup.op8, "documents"),
     "op9_html_extraction": _over(htmltemplate.op9, "pages"),
     "op10_secret_scan": _over(secretscan.op10, "documents"),
+    "op11_lm_scoring": _over(suffixtree.op11, "documents"),
+    "op12_conversation_trie": _over(convtrie.op12, "conversations"),
+    "op13_spelling_variants": _over(spelling.op13, "documents"),
     "pipeline": corpus_pipeline.run,
 }
 SQL = {**_SQL, **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})}
