@@ -46,10 +46,10 @@ from ..operators import stage
 #: Longest context in words, least count of a context with its next token, nats a stored count must be worth.
 DEPTH, LEAST, WORTH = 3, 16, 10.0
 #: An n-gram is broadcast if it makes up at least one in so many tokens.
-HEAVY = 1_000_000
+HEAVY = 2_000_000
 #: Tokens that a task gathers before it counts them.
 GATHERED = 2_000_000
-#: Distinct words whose hashes a task keeps.
+#: Distinct words whose hashes a task keeps from one gathering to the next.
 KEPT = 1_000_000
 #: Bits of the bitmaps.
 SLOTS = 1 << 26
@@ -67,42 +67,53 @@ def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 class _Words(dict):
-    """Hashes of words, each worked out once."""
+    """A code for each distinct word, from 0; ``names`` has their hashes by code."""
+
+    def __init__(self):
+        super().__init__()
+        self.names = [int(_END)]
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word)
-        return h
+        code = self[word] = len(self.names)
+        self.names.append(xxhash.xxh64_intdigest(word))
+        return code
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, list]]:
-    """(hashes of the tokens, place of each in its text, columns besides the text) of the texts, many at a time."""
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list]]:
+    """(hashes by code, codes of the tokens, place of each token in its text, columns besides the
+    text) of the texts, many at a time.  Code 0 is the end of a text."""
     words, held, rest, n = _Words(), [], [], 0
 
     def whole():
         length = np.array([len(x) for x in held])
         at = np.arange(n) - np.repeat(np.cumsum(length) - length, length)
-        return np.concatenate(held), at, rest
+        return np.array(words.names, np.uint64), np.concatenate(held), at, rest
 
     for batch in batches:
         texts = batch.column(0).cast(pa.binary()).to_pylist()
         others = [c.to_pylist() for c in batch.columns[1:]]
         for text, *other in zip(texts, *others):
             found = (text or b"").translate(_LOWER).split()
-            h = np.empty(len(found) + 1, np.uint64)
-            h[:-1] = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-            h[-1] = _END
-            held.append(h)
+            code = np.zeros(len(found) + 1, np.int64)
+            code[:-1] = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
+            held.append(code)
             rest.append(other)
-            n += len(h)
+            n += len(code)
             if n >= GATHERED:
                 yield whole()
                 held, rest, n = [], [], 0
+                if len(words) >= KEPT:
+                    words = _Words()
     if held:
         yield whole()
 
 
+def _tally(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values and their counts."""
+    first = np.nonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))[0] if len(sorted_keys) else np.zeros(0, int)
+    return sorted_keys[first], np.diff(np.append(first, len(sorted_keys)))
+
+
 def _in(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
     slot = keys & np.uint64(SLOTS - 1)
     return (bitmap[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
@@ -126,9 +137,10 @@ def _texts(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
 def unigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """(key, n): the tokens of the texts and the end of each, counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for tokens, _, _ in _gathered(batches):
-            key, n = np.unique(tokens, return_counts=True)
-            yield pa.RecordBatch.from_arrays([key.view(np.int64), n], ["key", "n"])
+        for names, tokens, _, _ in _gathered(batches):
+            n = np.bincount(tokens, minlength=len(names))
+            used = np.nonzero(n)[0]
+            yield pa.RecordBatch.from_arrays([names[used].view(np.int64), n[used]], ["key", "n"])
     return _texts(docs, text_col).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -141,18 +153,21 @@ def longer(docs: DataFrame, bitmaps: list, text_col: str = "text") -> DataFrame:
     """(pre, suf, n): n-grams one token longer than those of the last bitmap, by the n-grams they
     begin and end with, counted; only where both may be in that bitmap."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, at, _ in _gathered(batches):
-            for k, bitmap in enumerate(bitmaps):
-                known = _in(bitmap.value, key) & (at >= k)
-                place = np.nonzero(known[1:] & known[:-1] & (at[1:] > k))[0]
-                if k + 1 < len(bitmaps):  # names of the next length, where both parts are known
-                    name, spot = np.zeros_like(key), np.full_like(at, -1)
-                    name[place + 1], spot[place + 1] = _mix(key[place], key[place + 1]), at[place + 1]
-                    key, at = name, spot
-            name = _mix(key[place], key[place + 1])
-            _, first, n = np.unique(name, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [key[place][first].view(np.int64), key[place + 1][first].view(np.int64), n], ["pre", "suf", "n"])
+        for names, code, at, _ in _gathered(batches):
+            known = _in(bitmaps[0].value, names)[code]
+            place = np.nonzero(known[1:] & known[:-1] & (at[1:] > 0))[0]
+            for k, bitmap in enumerate(bitmaps[1:], 1):  # the n-grams of the next length both of whose parts are known
+                name = _mix(names[code[place]], names[code[place + 1]]) if k == 1 else _mix(name[before], name[before + 1])
+                ends = place + 1 if k == 1 else ends[before + 1]
+                known = _in(bitmap.value, name)
+                before = np.nonzero(known[1:] & known[:-1] & (ends[1:] == ends[:-1] + 1) & (at[ends[1:]] > k))[0]
+            if len(bitmaps) == 1:
+                pair, n = _tally(np.sort(code[place] << 32 | code[place + 1]))
+                pre, suf = names[pair >> 32], names[pair & 0xFFFFFFFF]
+            else:
+                _, first, n = np.unique(_mix(name[before], name[before + 1]), return_index=True, return_counts=True)
+                pre, suf = name[before][first], name[before + 1][first]
+            yield pa.RecordBatch.from_arrays([pre.view(np.int64), suf.view(np.int64), n], ["pre", "suf", "n"])
     return _texts(docs, text_col).mapInArrow(count, "pre long, suf long, n long").groupBy("pre", "suf").agg(
         F.sum("n").alias("n"))
 
@@ -242,23 +257,30 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, logs, known, w = top.value
-        for key, at, rest in _gathered(batches):
+
+        def found(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            spot = np.minimum(np.searchsorted(keys, names), max(len(keys) - 1, 0))
+            return spot, keys[spot] == names if len(keys) else np.zeros(len(names), bool)
+
+        for names, code, at, rest in _gathered(batches):
             n_docs = len(rest)
             doc = np.cumsum(at == 0) - 1
             n_tokens = np.bincount(doc, minlength=n_docs)
+            spot, hit = found(names)
             sums = np.zeros((3, n_docs))
-            light = []
-            for k in range(depth + 1):
-                if k:  # the n-grams one token longer, where they may have a weight or be part of one that has
-                    key, doc, at = _mix(key[:-1], key[1:]), doc[1:], at[1:]
-                    use = _in(longer_ones.value, key) & (at >= k)
-                    name, of = key[use], doc[use]
-                else:
-                    name, of = key, doc
-                spot = np.minimum(np.searchsorted(keys, name), max(len(keys) - 1, 0))
-                hit = keys[spot] == name if len(keys) else np.zeros(len(name), bool)
-                for i, value in enumerate((known, logs, w)):
-                    sums[i] += np.bincount(of[hit], value[spot[hit]], n_docs)
+            if hit.any():
+                for i, x in enumerate((known, logs, w)):
+                    sums[i] = np.bincount(doc, np.where(hit, x[spot], 0.0)[code], n_docs)
+            rare = ~hit[code]
+            light = [(doc[rare], names[code[rare]])]
+            key = names[code]
+            for k in range(1, depth + 1):  # the n-grams one token longer
+                key, doc, at = _mix(key[:-1], key[1:]), doc[1:], at[1:]
+                use = np.nonzero((at >= k) & _in(longer_ones.value, key))[0]
+                name, of = key[use], doc[use]
+                spot, hit = found(name)
+                if hit.any():
+                    sums[2] += np.bincount(of[hit], w[spot[hit]], n_docs)
                 light.append((of[~hit], name[~hit]))
             of, name = (np.concatenate(x) for x in zip(*light))
             by = np.lexsort((name, of))
