@@ -47,6 +47,18 @@ def shift_zone(ts, from_zone: str, to_zone: str) -> Column:
     return F.convert_timezone(F.lit(from_zone), F.lit(to_zone), _c(ts))
 
 
+def raw_bounds(ts, lo: str, hi: str) -> Column:
+    """What a stored wall-clock time must meet for its zone-shifted value to lie in [lo, hi].
+
+    No zone is a day or more away from another's wall clock at the offsets in use, so the raw
+    value lies within a day of the window.  Unlike the shifted comparison this one names the bare
+    column and reaches the scan; it is used beside the exact condition, never in its place.
+    """
+    day = F.make_dt_interval(F.lit(1))
+    stored = lambda d: F.lit(d).cast("date").cast("timestamp_ntz")
+    return _c(ts).between(stored(lo) - day, stored(hi) + day)
+
+
 def to_eastern(ts) -> Column:
     """UTC wall clock -> US Eastern wall clock (the ``*_est`` columns)."""
     return shift_zone(ts, "UTC", EASTERN)

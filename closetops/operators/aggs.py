@@ -107,3 +107,29 @@ def count_distinct_ifs(df: DataFrame, metrics: dict[str, tuple[Column, Column]])
     per = pairs.groupBy("m").agg(F.count(F.lit(1)).alias("n"))
     return per.agg(*[F.coalesce(F.max(F.when(F.col("m") == n, F.col("n"))), F.lit(0)).cast("bigint").alias(n)
                      for n in names])
+
+
+def pair_counts(left: DataFrame, right: DataFrame, keys: list[str], label: str, n: str) -> DataFrame:
+    """(keys, pairs, pairs_differing) of the join of two counted tables on ``keys``, without the join.
+
+    ``left`` and ``right`` hold rows (keys, label, n), n being a number of rows; labels may repeat.
+    The pairs of a key are sum(left) * sum(right); those of equal label are the sum over labels of
+    the products, so those of differing labels (a null label differs from none and equals none) are
+    the product over labelled rows less that.  A hot key is two grouped sums, combined before the
+    shuffle.  Null keys match nothing; keys of one side only have no row.
+    """
+    def side(df: DataFrame, at: int) -> DataFrame:
+        counted = df.select(*keys, label, *[(F.col(n) if i == at else F.lit(0).cast("bigint")).alias(f"_n{i}") for i in (0, 1)])
+        return counted.dropna(subset=keys)
+
+    per_label = side(left, 0).unionByName(side(right, 1)).groupBy(*keys, label).agg(
+        F.sum("_n0").cast("decimal(38,0)").alias("_a"), F.sum("_n1").cast("decimal(38,0)").alias("_b"))
+    named = F.col(label).isNotNull()
+    zero = F.lit(0).cast("decimal(38,0)")
+    per_key = per_label.groupBy(*keys).agg(
+        F.sum("_a").alias("_l"), F.sum("_b").alias("_r"), F.sum(F.when(named, F.col("_a")).otherwise(zero)).alias("_ln"),
+        F.sum(F.when(named, F.col("_b")).otherwise(zero)).alias("_rn"),
+        F.sum(F.when(named, F.col("_a") * F.col("_b")).otherwise(zero)).alias("_same"))
+    return per_key.where("_l > 0 AND _r > 0").select(
+        *keys, (F.col("_l") * F.col("_r")).cast("decimal(38,0)").alias("pairs"),
+        (F.col("_ln") * F.col("_rn") - F.col("_same")).cast("decimal(38,0)").alias("pairs_differing"))

@@ -11,8 +11,8 @@ order column (``bucket``): LEAD/LAG run inside (key, bucket) windows, and the
 row that crosses a bucket edge is taken from a per-(key, bucket) table of
 first/last rows (one row per bucket, pre-aggregated before its shuffle).  The
 result is exact for any bucket width; the width only bounds the rows one
-window task holds.  The big side keeps the (key, bucket) hash partitioning of
-its window, so the edge join shuffles only the small per-bucket table.
+window task holds.  The log itself is exchanged once, for the window, and keeps
+that (key, bucket) partitioning for the join with the edge table.
 """
 
 from __future__ import annotations
@@ -87,8 +87,8 @@ def shift_within(df: DataFrame, keys: list[str], order: list[str], values: dict[
     # In a struct a null bucket (null order value) equals itself in the join back, and sorts first.
     x, nk = null_safe_keys(df.withColumn(b, F.struct(bucket.alias("v"))), keys)
     part = nk + [b]
-    # The windows and the edge aggregate each shuffle their input on (key, bucket).
-    x = x.repartition(*part)
+    # The window exchanges the log, on (key, bucket); the edges are combined before their exchange,
+    # so only one row per key, bucket and task moves for them, and the join back moves nothing else.
     w = Window.partitionBy(*part).orderBy(*order)
     inner = x.withColumns({**{o: fn(F.col(s)).over(w) for o, s in values.items()},
                            "_has": fn(F.lit(1)).over(w)})
@@ -159,7 +159,6 @@ def row_number_within(df: DataFrame, keys: list[str], order: list, bucket: Colum
     b = "_rn_b"
     x, nk = null_safe_keys(df.withColumn(b, F.struct(bucket.alias("v"))), keys)  # a null bucket equals itself
     part = nk + [b]
-    x = x.repartition(*part)
     inner = x.withColumn("_rn_in", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
     counts = x.groupBy(*part).agg(F.count(F.lit(1)).alias("_rn_n"))
     wb = Window.partitionBy(*nk).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)

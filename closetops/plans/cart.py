@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import flag
 from ..operators import stage
+from ..operators.aggs import pair_counts
+from ..operators.intervals import interval_join
+from ..sources.calendar import on_calendar
 from ..functions.temporal import elapsed_days, epoch_to_ntz, to_eastern
 
 # Fixed values of the analysis.
@@ -73,10 +76,9 @@ def cart_bookings(rb: DataFrame, users: DataFrame, rbd: DataFrame, ogr: DataFram
          .join(o, F.col("_goid") == o["_ooid"], "left")
          .join(m, r["sku"] == m["_msku"], "left")
          .join(ss, (F.col("_size") == ss["psize"]) & (F.col("_scale") == ss["size_scale"]), "left")
-         .join(pp, (F.col("model") == pp["_pmodel"])
-               & r["creation_date"].between(pp["order_date_start"], pp["order_date_end"])
-               & F.col("rental_begin_date").between(pp["rent_begin_start"], pp["rent_begin_end"]), "inner")
          .join(fo, r["uid"] == fo["_fuid"], "left"))
+    x = interval_join(x, pp, ("model", "_pmodel"), [("creation_date", "order_date_start", "order_date_end"),
+                                                    ("rental_begin_date", "rent_begin_start", "rent_begin_end")])
     # Smallest standard size among the result rows of the same size label.
     x = stage(x)
     std = x.groupBy(F.col("psize").alias("_spsize")).agg(F.min("_std").alias("standard_size"))
@@ -91,8 +93,7 @@ def cart_bookings(rb: DataFrame, users: DataFrame, rbd: DataFrame, ogr: DataFram
 def cart_sessions(rcr: DataFrame, dates: DataFrame, bot_uids) -> DataFrame:
     """Cart adds grouped per user x fiscal week of the last possible begin date."""
     cal = dates.select("asofdate", "fiscal_week_start")
-    x = (rcr.filter((F.col("uid") > 0) & ~F.col("uid").isin(*bot_uids))
-         .join(F.broadcast(cal), F.col("last_possible_begin_date") == F.col("asofdate"), "inner"))
+    x = on_calendar(rcr.filter((F.col("uid") > 0) & ~F.col("uid").isin(*bot_uids)), cal, "last_possible_begin_date")
     t0 = F.col("type") == 0
     return x.groupBy("uid", F.col("fiscal_week_start").alias("LPD_week_start")).agg(
         F.count(F.lit(1)).alias("adding_to_SC"),
@@ -118,7 +119,7 @@ def cart_sessions(rcr: DataFrame, dates: DataFrame, bot_uids) -> DataFrame:
 
 def bookings_per_week(rb: DataFrame, dates: DataFrame) -> DataFrame:
     cal = dates.select("asofdate", "fiscal_week_start")
-    x = rb.join(F.broadcast(cal), F.col("last_possible_begin_date") == F.col("asofdate"), "inner")
+    x = on_calendar(rb, cal, "last_possible_begin_date")
     return x.groupBy("uid", F.col("fiscal_week_start").alias("LPD_week_start")).agg(
         F.sum(flag((F.col("order_group_id") > 0) & (F.col("merchandise_category") == "RENTAL")))
         .cast("bigint").alias("booking_count"))
@@ -130,7 +131,7 @@ def cart_conversion(sc: DataFrame, per_week: DataFrame, dates: DataFrame, lo: st
     s = sc.filter((F.col("first_addto_SC") >= F.lit(lo).cast("timestamp_ntz"))
                   & (F.col("first_addto_SC") < F.lit(hi).cast("timestamp_ntz")))
     pw = per_week.select(F.col("uid").alias("_wuid"), F.col("LPD_week_start").alias("_wk"), "booking_count")
-    x = (s.join(F.broadcast(cal), F.to_date("first_addto_SC") == F.col("asofdate"), "inner")
+    x = (on_calendar(s, cal, "first_addto_SC")
          .join(pw, (s["uid"] == pw["_wuid"]) & (s["LPD_week_start"] == pw["_wk"]), "left"))
     placed = F.col("placing_order") > 0
     return x.select(
@@ -228,31 +229,44 @@ def device_checkout(bo: DataFrame, ogr: DataFrame, rb: DataFrame, bd: DataFrame,
             .select("sku", "device", "rental_begin_date", "uid"))
 
 
+def _switch_sides(pr: DataFrame, pmi: DataFrame, dc: DataFrame, bd: DataFrame,
+                  devices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Add-to-cart clicks counted per (user, begin date, model, device) and checkouts per (user, begin
+    date, sku, its models, device).  Clicks are never expanded to the skus of their model."""
+    adds = (_device_clicks(pr.filter(F.col("action_type") == ADD_TO_CART), bd, devices)
+            .groupBy("uid", F.to_date("rent_begin_date").alias("rental_begin_date"), F.col("style_name").alias("model"), "device")
+            .agg(F.count(F.lit(1)).alias("n")))
+    models = pmi.groupBy(F.col("sku").alias("_sku"), "model").agg(F.count(F.lit(1)).alias("_nm"))
+    chk = (dc.groupBy("uid", "rental_begin_date", "sku", "device").agg(F.count(F.lit(1)).alias("_nc"))
+           .join(models, F.col("sku") == F.col("_sku"), "inner")
+           .select("uid", "rental_begin_date", "sku", "model", "device", (F.col("_nc") * F.col("_nm")).alias("n")))
+    return adds, chk
+
+
 def device_switch(pr: DataFrame, pmi: DataFrame, dc: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFrame:
     """Add-to-cart x checkout pairs for the same user, item and begin date, as counts per device pair.
 
-    Each side is counted per (user, begin date, sku, device) first; the pair
-    count of two matching groups is the product of their counts.
+    Both sides are counted before they meet on (user, begin date, model); the pair count of two
+    matching groups is the product of their counts.
     """
-    m = pmi.select(F.col("model").alias("_model"), F.col("sku").alias("_sku"))
-    adds = (_device_clicks(pr.filter(F.col("action_type") == ADD_TO_CART), bd, devices)
-            .join(m, F.col("style_name") == m["_model"], "inner")
-            .groupBy(F.col("uid").alias("_auid"), F.to_date("rent_begin_date").alias("_aday"),
-                     F.col("_sku").alias("_asku"), F.col("device").alias("add_to_cart_device"))
-            .agg(F.count(F.lit(1)).alias("_na")))
-    chk = (dc.groupBy("uid", "rental_begin_date", "sku", F.col("device").alias("checkout_device"))
-           .agg(F.count(F.lit(1)).alias("_nc")))
-    x = chk.join(adds, (chk["uid"] == adds["_auid"]) & (chk["rental_begin_date"] == adds["_aday"])
-                 & (chk["sku"] == adds["_asku"]), "inner")
-    return x.select("uid", "rental_begin_date", "sku", "checkout_device", "add_to_cart_device",
-                    (F.col("_nc") * F.col("_na")).cast("bigint").alias("pairs"))
-
-
-def device_switch_summary(pairs: DataFrame) -> DataFrame:
-    return pairs.agg(
-        F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("pairs_total"),
-        F.coalesce(F.sum(F.when(F.col("checkout_device") != F.col("add_to_cart_device"), F.col("pairs"))), F.lit(0))
-        .cast("bigint").alias("pairs_switched"))
+    adds, chk = _switch_sides(pr, pmi, dc, bd, devices)
+    adds = adds.select("uid", "rental_begin_date", "model", F.col("device").alias("add_to_cart_device"), F.col("n").alias("_na"))
+    return (chk.withColumnRenamed("device", "checkout_device").join(adds, ["uid", "rental_begin_date", "model"])
+            .groupBy("uid", "rental_begin_date", "sku", "checkout_device", "add_to_cart_device")
+            .agg(F.sum(F.col("n") * F.col("_na")).cast("bigint").alias("pairs")))
+
+
+def device_switch_summary(pr: DataFrame, pmi: DataFrame, dc: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFrame:
+    """All pairs of :func:`device_switch` and those whose devices differ, from the counts of the two sides alone."""
+    adds, chk = _switch_sides(pr, pmi, dc, bd, devices)
+    pairs = pair_counts(adds, chk, ["uid", "rental_begin_date", "model"], "device", "n")
+    return pairs.agg(F.coalesce(F.sum("pairs"), F.lit(0)).cast("bigint").alias("pairs_total"),
+                     F.coalesce(F.sum("pairs_differing"), F.lit(0)).cast("bigint").alias("pairs_switched"))
+
+
+def log_missing(coverage: DataFrame) -> DataFrame:
+    """Cart adds whose matching click has no log source."""
+    return coverage.filter(F.col("log_source").isNull())
 
 
 def profile_cart(rcr: DataFrame, sessions: DataFrame, devices: DataFrame) -> DataFrame:

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.temporal import CENTRAL, shift_zone
+from ..functions.temporal import CENTRAL, raw_bounds, shift_zone
+from ..sources.calendar import on_calendar
 
 # Fixed values of the analysis: membership products by SKU.
 PRO_SKUS = ("XX8_ONE SIZE", "XX8_One Size")
@@ -54,7 +55,7 @@ def order_profile(io: DataFrame, ig: DataFrame, ib: DataFrame, rb: DataFrame, rb
 def leakage_detail(fli: DataFrame, profile: DataFrame, showroom_order: DataFrame, showroom: DataFrame,
                    lo: str, hi: str, begin_from: str = "2015-01-01") -> DataFrame:
     """Confirmed ledger lines updated in [lo, hi] (UTC) of orders begun in [begin_from, hi]."""
-    f = (fli.filter(F.col("status") == "CONFIRMED")
+    f = (fli.filter((F.col("status") == "CONFIRMED") & raw_bounds("updated_at", lo, hi))
          .withColumn("initiated_at", _utc("created_at"))
          .withColumn("updated_at_utc", _utc("updated_at"))
          .filter(_between_dates(F.col("updated_at_utc"), lo, hi)))
@@ -94,7 +95,7 @@ def leakage_by_reason(ots: DataFrame, fli: DataFrame, orderdata: DataFrame, date
     order group; that minimum is taken per group before the join, so no
     transaction is paired with every ledger line of its group.
     """
-    f = (fli.filter((F.col("status") == "CONFIRMED") & (F.col("direction") == "OUT"))
+    f = (fli.filter((F.col("status") == "CONFIRMED") & (F.col("direction") == "OUT") & raw_bounds("updated_at", lo, hi))
          .withColumn("_u", _utc("updated_at"))
          .filter(_between_dates(F.col("_u"), lo, hi)))
     per_group = f.groupBy(F.col("group_id").alias("_fg")).agg(F.min(F.to_date("_u")).alias("updated_at"))
@@ -111,6 +112,6 @@ def leakage_by_reason(ots: DataFrame, fli: DataFrame, orderdata: DataFrame, date
     else:
         y, m = "fiscal_year", "fiscal_month"
     cal = dates.select("asofdate", y, m)
-    x = rf.join(F.broadcast(cal), rf["updated_at"] == cal["asofdate"], "inner")
+    x = on_calendar(rf, cal, "updated_at")
     return x.groupBy(y, m, "annotation_type_summary").agg(
         (-F.sum("fli_total")).cast("decimal(38,6)").alias("fli_total"))

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import exclude_prefix_digits
 from ..operators import stage
 from ..operators.aggs import horizon_counts
+from ..sources.calendar import on_calendar
 
 # Fixed values of the analyses.
 SPECIAL_SKU_PREFIXES = ("SS", "XX")
@@ -62,10 +63,9 @@ def refund_delta(fli: DataFrame, fsh: DataFrame, invoice_order: DataFrame, uc_or
                  .agg(F.sum(_signed("total") * F.col("_conf")).alias("_amt")))
     uco = (uc_orders.filter(~F.col("primary_email").like(f"%{internal_domain}"))
            .select(F.col("order_id").alias("_oid"), "order_type"))
-    cal = dates.filter(F.col("fiscal_year") >= min_fiscal_year).select(
-        "asofdate", "fiscal_week_start", "fiscal_month_start")
-    bk = (ogr.select("group_id", "rental_begin_date")
-          .join(F.broadcast(cal), F.col("rental_begin_date") == F.col("asofdate"), "inner")
+    cal = dates.select("asofdate", "fiscal_year", "fiscal_week_start", "fiscal_month_start")
+    bk = (on_calendar(ogr.select("group_id", "rental_begin_date"), cal, "rental_begin_date")
+          .filter(F.col("fiscal_year") >= min_fiscal_year)
           .groupBy("group_id", "fiscal_week_start", "fiscal_month_start")
           .agg(F.count(F.lit(1)).alias("_bookings")))
     total = (per_group.join(uco, per_group["order_id"] == uco["_oid"], "inner")
@@ -160,7 +160,7 @@ def issue_summary(rollup: DataFrame, dates: DataFrame, orderdata: DataFrame) ->
     """Rollup + calendar of the begin date + order rank + issue category (PO > delivery > quality > fit)."""
     cal = dates.select("asofdate", "fiscal_week_start", "fiscal_month_start", "fiscal_year")
     nth = orderdata.select(F.col("order_id").alias("_oo"), "nth_order").distinct()
-    x = (rollup.join(F.broadcast(cal), rollup["rental_begin_date"] == cal["asofdate"], "inner")
+    x = (on_calendar(rollup, cal, "rental_begin_date")
          .join(nth, rollup["order_id"] == nth["_oo"], "left"))
     cat = (F.when(F.col("po_order_id").isNotNull(), "PO")
            .when(F.col("delivery_order_id").isNotNull(), "Delivery")
@@ -215,13 +215,12 @@ def unreplaced_orders(ogr: DataFrame, af: DataFrame, dates: DataFrame, week_from
                       zone: int = 2, begin_gap_days: int = -1) -> DataFrame:
     """Subscription rental bookings in a shipping zone whose group got no replacement."""
     rpl = replacements(af, ogr).select(F.col("group_id").alias("_rg")).filter(F.col("_rg").isNotNull()).distinct()
-    cal = dates.filter(F.col("fiscal_week_start") >= F.lit(week_from).cast("date")).select(
-        "asofdate", "fiscal_week_start")
+    cal = dates.select("asofdate", "fiscal_week_start")
     x = (ogr.filter((F.col("order_type") == "QUEUE") & (F.col("merchandise_category") == "RENTAL")
                     & (F.col("ups_ground_shipping_zone") == zone)
                     & (F.datediff("last_possible_begin_date", "rental_begin_date") == begin_gap_days))
-         .join(rpl, F.col("group_id") == F.col("_rg"), "left_anti")
-         .join(F.broadcast(cal), F.to_date("order_datetime_est") == F.col("asofdate"), "inner"))
+         .join(rpl, F.col("group_id") == F.col("_rg"), "left_anti"))
+    x = on_calendar(x, cal, "order_datetime_est").filter(F.col("fiscal_week_start") >= F.lit(week_from).cast("date"))
     return (x.select("fiscal_week_start", "order_datetime_est", "order_id", "group_id",
                      "rental_begin_date", "last_possible_begin_date", "ups_ground_shipping_zone")
             .distinct().orderBy(F.col("fiscal_week_start").desc()))
@@ -259,3 +258,18 @@ def profile_shipping_orders(af: DataFrame) -> DataFrame:
     return (af.filter((F.col("annotation_group") == "SHIPPING") & (F.col("annotation_target") == "BOOKING")
                       & F.col("detail_name").isin("reason", "fitOverall"))
             .agg(F.countDistinct("order_id").alias("order_cnt")))
+
+
+def profile_latest_order(af: DataFrame, po: DataFrame) -> DataFrame:
+    """Latest order time of classic rental bookings that a fit annotation names as its booking (a semi-join)."""
+    a = af.filter((F.col("annotation_group") == "RFF") & (F.col("annotation_target") == "BOOKING")).select("annotation_id")
+    p = po.filter((F.col("order_type") == "CLASSIC") & (F.col("merchandise_category") == "RENTAL")
+                  & exclude_prefix_digits("sku", SPECIAL_SKU_PREFIXES))
+    return (p.join(a, p["reservation_booking_id"] == a["annotation_id"], "left_semi")
+            .agg(F.max("order_datetime_est").alias("max_order_datetime_est")))
+
+
+def profile_replacement_reasons(af: DataFrame) -> DataFrame:
+    """The reasons given for replacements."""
+    return (af.filter((F.col("annotation_group") == "REPLACEMENT") & (F.col("detail_name") == "reason"))
+            .select("annotation_group", "detail_value").distinct().orderBy("annotation_group"))

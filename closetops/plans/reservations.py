@@ -176,24 +176,25 @@ def reservation_fact(uco: DataFrame, users: DataFrame, rog: DataFrame, rb: DataF
 def unit_usage(fact: DataFrame) -> DataFrame:
     """Usage rank (bookings of the unit begun on or before this one) and total per unit.
 
-    Both are grouped counts joined back: per (unit, begin date) counts, a running
-    sum over the unit's distinct begin dates, and a per-unit total.
+    Only rows of a unit have a rank, so rows without one, however many, take no part in any
+    shuffle.  The others are counted per (unit, begin date); the running sum takes one row per
+    unit and date, and the join back is on both, left to adaptive execution to split.
     """
-    # One shuffle on (unit, begin date); per-day counts, their running sum per
-    # unit (one row per distinct day) and the join back all reuse it.
-    x, nk = null_safe_keys(stage(fact), ["unit_id", "rental_begin_date"])
-    x = x.repartition(*nk)
-    per_day = x.groupBy(*nk).agg(F.count("reservation_booking_id").alias("_n"))
-    u = nk[:2]
-    w = Window.partitionBy(*u).orderBy(F.col(nk[3]).desc(), F.col(nk[2]).asc()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    ranks = per_day.select(*nk, F.sum("_n").over(w).alias("_rank"),
-                           F.sum("_n").over(Window.partitionBy(*u)).alias("_total"))
-    x = x.join(ranks, nk, "inner")
+    x = stage(fact)
     ok = F.col("unit_id").isNotNull() & (F.length("barcode") == BARCODE_LENGTH)
-    return x.select(*[F.col(c) for c in fact.columns],
-                    F.when(ok, F.col("_rank")).cast("bigint").alias("unit_usage_rank"),
-                    F.when(ok, F.col("_total")).cast("bigint").alias("unit_total_usage"))
+    per_day, nk = null_safe_keys(x.filter(F.col("unit_id").isNotNull()).groupBy("unit_id", "rental_begin_date").agg(
+        F.count("reservation_booking_id").alias("_n")), ["rental_begin_date"])
+    of_unit = Window.partitionBy("unit_id")
+    upto = of_unit.orderBy(F.col("rental_begin_date").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    ranks = per_day.select(F.col("unit_id").alias("_unit"), *nk, F.sum("_n").over(upto).alias("_rank"),
+                           F.sum("_n").over(of_unit).alias("_total"))
+    used, _ = null_safe_keys(x.filter(ok), ["rental_begin_date"])
+    used = used.join(ranks, [F.col("unit_id") == F.col("_unit"), *[used[c] == ranks[c] for c in nk]], "inner")
+    cols = [F.col(c) for c in fact.columns]
+    none = F.lit(None).cast("bigint")
+    return used.select(*cols, F.col("_rank").cast("bigint").alias("unit_usage_rank"),
+                       F.col("_total").cast("bigint").alias("unit_total_usage")).unionByName(
+        x.filter(~F.coalesce(ok, F.lit(False))).select(*cols, none.alias("unit_usage_rank"), none.alias("unit_total_usage")))
 
 
 EXTRA_OGR_COLS = ["uid", "order_id", "order_datetime_est", "billing_postal_code", "order_status", "order_type",

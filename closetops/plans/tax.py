@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import stage
-from ..operators.seqlog import row_number_within
+from ..operators.ranged import row_number_ranged
+from ..sources.calendar import on_calendar
 
 ENTRY_COLS = ["calendar_year", "calendar_month", "state", "city", "order_id", "barcode", "sku",
               "unit_cost", "activated_on", "ship_date", "postal_code"]
@@ -24,12 +24,11 @@ def tax_entries(og: DataFrame, zones: DataFrame, ogr: DataFrame, fvi: DataFrame,
     cal = dates.select("asofdate", "calendar_year", "calendar_month")
     a = (o.join(b, o["group_id"] == b["_bg"], "inner")
          .join(v, F.col("barcode") == v["_vb"], "inner")
-         .join(s, o["group_id"] == s["_sr"], "inner")
-         .join(F.broadcast(cal), F.col("ship_date") == F.col("asofdate"), "inner")
-         .select(*ENTRY_COLS).distinct())
+         .join(s, o["group_id"] == s["_sr"], "inner"))
+    a = on_calendar(a, cal, "ship_date").select(*ENTRY_COLS).distinct()
     order = ["ship_date", "order_id", "sku", "state", "city", "postal_code", "calendar_year", "calendar_month",
              "unit_cost", "activated_on"]
-    x = row_number_within(stage(a), ["barcode"], order, F.year("ship_date"), "_rn")
+    x = row_number_ranged(a, ["barcode"], order, "_rn")
     return (x.select(*ENTRY_COLS,
                      F.when(F.to_date("activated_on") < F.lit(cutoff).cast("date"), F.lit(-1))
                      .otherwise(F.col("_rn")).cast("bigint").alias("nth_entry"))

@@ -5,8 +5,7 @@ sku_cohort          SKU x months-since-available revenue, non-replenishment styl
 wcr                 cumulative revenue and return on wholesale cost
 
 The analysis accumulates with a triangular self-join (``a.m <= a1.m`` within a
-SKU), quadratic in months per SKU; here it is one RANGE window per SKU.  The
-"replenishment style is null" test after a left join is a ``left_anti`` join.
+SKU), quadratic in months per SKU; here it is one RANGE window per SKU.
 """
 
 from __future__ import annotations
@@ -28,17 +27,30 @@ def replenishment_styles(master_replenish_style: DataFrame, products_master: Dat
             .distinct())
 
 
-def sku_month_revenue(fact: DataFrame, products: DataFrame, min_avl_year: int = 2009) -> DataFrame:
-    """Monthly SKU fact restricted to known styles and availability years."""
-    styles = products.select(F.col("style").alias("_ps"))
-    return (fact.filter(F.col("fiscal_year_avl") >= min_avl_year)
-            .join(styles, fact["style"] == styles["_ps"], "left_semi"))
+REVENUE_COLS = ["fiscal_year_rbd", "fiscal_month_rbd", "fiscal_month_start_rbd", "fiscal_year_avl", "fiscal_month_avl",
+                "fiscal_month_start_avl", "style", "sku", "cost", "order_type", "current_total_units", "total_booking",
+                "product_total_sku", "queue_subscription_revenue_sku", "queue_ttb_revenue_sku",
+                "queue_monthly_athome_days_sku"]
+#: Of the product columns of the analysis, those a products table may have; the ones it has are taken.
+PRODUCT_COLS = ["designer", "title", "sub_type", "high_level_shape", "detailed_formality", "designer_classification",
+                "season_code", "style_out"]
 
 
-def sku_cohort(revenue: DataFrame, repl: DataFrame, avl_years) -> DataFrame:
+def sku_month_revenue(fact: DataFrame, products: DataFrame, repl: DataFrame, min_avl_year: int = 2009) -> DataFrame:
+    """Monthly SKU fact with the columns of its product and the replenishment marker (the style, or null).
+
+    An inner join, so a style with several product rows is repeated as often; ``repl`` holds each
+    style once.
+    """
+    p = products.select(F.col("style").alias("_ps"), *[c for c in PRODUCT_COLS if c in products.columns])
+    x = (fact.filter(F.col("fiscal_year_avl") >= min_avl_year).join(p, fact["style"] == p["_ps"], "inner")
+         .join(repl, fact["style"] == repl["replenishment_style"], "left"))
+    return x.select(*[c for c in REVENUE_COLS if c in fact.columns], *p.columns[1:], "replenishment_style")
+
+
+def sku_cohort(revenue: DataFrame, avl_years) -> DataFrame:
     """Revenue per SKU x rental fiscal month x months since available, non-replenishment only."""
-    x = (revenue.filter(F.col("fiscal_year_avl").isin(list(avl_years)))
-         .join(repl, revenue["style"] == repl["replenishment_style"], "left_anti"))
+    x = revenue.filter(F.col("fiscal_year_avl").isin(list(avl_years)) & F.col("replenishment_style").isNull())
     msa = month_boundaries(F.make_date("fiscal_year_avl", "fiscal_month_avl", F.lit(1)),
                            F.make_date(F.year("fiscal_month_start_rbd"), F.col("fiscal_month_rbd"), F.lit(1)))
     return (x.groupBy("fiscal_year_avl", "sku",

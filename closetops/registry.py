@@ -11,7 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .plans import (ageing, cart, leakage, order_issues as oi, problem_orders as po,
                     replacements as rp, reservations as rs, tax, wcr)
+from .operators.profile import profile_columns
 from .operators.seqlog import next_state
+from .session import ensure_checkpoint_dir
+from .sources.sinks import publish
 from .sources.bindings import INTERNAL_DOMAIN, Warehouse
 
 # Fixed "today" for the two halves of the test data (events: Jan 2024;
@@ -21,6 +24,7 @@ AS_OF_ORDERS = "2001-09-01"
 IDLE_SINCE = "2017-01-01"
 MIN_FISCAL_YEAR = 1997
 UNREPLACED_WEEK_FROM = "1999-05-10"
+ANNOTATION_COLUMNS = ("annotation_group", "annotation_target", "detail_name", "detail_value", "contact_method", "order_id")
 
 
 _WAREHOUSES: dict = {}
@@ -55,6 +59,14 @@ def q_ageing_bins(spark, sf_dir) -> DataFrame:
     return ageing.ageing_report(wh.inventory_unit, wh.dates, as_of=AS_OF_EVENTS, idle_since=IDLE_SINCE)
 
 
+def q_published_ageing(spark, sf_dir) -> DataFrame:
+    """The ageing report published by site under the shared checkpoint folder, read back from there."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/published-{spark.sparkContext.applicationId}/ageing"
+    report = q_ageing_bins(spark, sf_dir)
+    publish(report, path=path, partition_by=["cur_location_site"])
+    return spark.read.schema(report.schema).parquet(path).select(*report.columns)
+
+
 def q_next_state(spark, sf_dir) -> DataFrame:
     wh = _wh(spark, sf_dir)
     return next_state(wh.inventory_unit, as_of=AS_OF_EVENTS)
@@ -123,6 +135,20 @@ def q_profile_orders(spark, sf_dir):
     return oi.profile_shipping_orders(_wh(spark, sf_dir).yp_autumn_full)
 
 
+def q_profile_latest_order(spark, sf_dir):
+    wh = _wh(spark, sf_dir)
+    return oi.profile_latest_order(wh.yp_autumn_full, wh.ogr_po)
+
+
+def q_profile_reasons(spark, sf_dir):
+    return oi.profile_replacement_reasons(_wh(spark, sf_dir).yp_autumn_full)
+
+
+def q_profile_columns(spark, sf_dir):
+    """Rows, nulls, distinct values and range of the annotation columns, in one pass."""
+    return profile_columns(_wh(spark, sf_dir).yp_autumn_full, list(ANNOTATION_COLUMNS))
+
+
 def _issue_view(wh, variant):
     return rp.issue_replacements(wh.ogr_po, wh.yp_autumn_full, wh.order_group_reservation,
                                  wh.barcode_sku_style_type, variant=variant)
@@ -148,10 +174,17 @@ AVL_YEARS = (1995, 1996, 1997, 1998)
 MIN_AVL_YEAR = 1990
 
 
+def _revenue(wh):
+    return wcr.sku_month_revenue(wh.profitability_sku_monthly_revenue_cogs, wh.products,
+                                 wcr.replenishment_styles(wh.master_replenish_style, wh.products_master), MIN_AVL_YEAR)
+
+
 def _cohort(wh):
-    rev = wcr.sku_month_revenue(wh.profitability_sku_monthly_revenue_cogs, wh.products, MIN_AVL_YEAR)
-    repl = wcr.replenishment_styles(wh.master_replenish_style, wh.products_master)
-    return wcr.sku_cohort(rev, repl, AVL_YEARS)
+    return wcr.sku_cohort(_revenue(wh), AVL_YEARS)
+
+
+def q_sku_revenue(spark, sf_dir):
+    return _revenue(_wh(spark, sf_dir))
 
 
 def q_sku_cohort(spark, sf_dir):
@@ -202,6 +235,10 @@ def q_log_coverage(spark, sf_dir):
     return cart.log_coverage(_cart(wh), wh.products_master_iid, wh.pixel_raw2)
 
 
+def q_log_missing(spark, sf_dir):
+    return cart.log_missing(q_log_coverage(spark, sf_dir))
+
+
 def q_user_devices(spark, sf_dir):
     wh = _wh(spark, sf_dir)
     return cart.user_devices(_sessions(wh), wh.pixel_raw2, wh.browser_device, wh.devices, wh.uc_orders)
@@ -226,7 +263,7 @@ def q_action_devices(spark, sf_dir):
 def _switch(wh):
     dc = cart.device_checkout(wh.browser_orders, wh.order_group_reservation, wh.reservation_booking,
                               wh.browser_device, wh.devices, SWITCH_BEGIN_FROM)
-    return cart.device_switch(wh.pixel_raw2, wh.products_master_iid, dc, wh.browser_device, wh.devices)
+    return wh.pixel_raw2, wh.products_master_iid, dc, wh.browser_device, wh.devices
 
 
 def q_profile_cart(spark, sf_dir):
@@ -235,11 +272,11 @@ def q_profile_cart(spark, sf_dir):
 
 
 def q_device_switch(spark, sf_dir):
-    return _switch(_wh(spark, sf_dir))
+    return cart.device_switch(*_switch(_wh(spark, sf_dir)))
 
 
 def q_device_switch_summary(spark, sf_dir):
-    return cart.device_switch_summary(_switch(_wh(spark, sf_dir)))
+    return cart.device_switch_summary(*_switch(_wh(spark, sf_dir)))
 
 
 def _unit_loc(wh):
@@ -372,11 +409,13 @@ PREVIEW_ROWS = 200
 
 def q_preview(spark, sf_dir):
     """First rows of the priced cart adds by booking id (a preview is a top-k)."""
-    return _cart(_wh(spark, sf_dir)).orderBy("id", "price").limit(PREVIEW_ROWS)
+    rows = _cart(_wh(spark, sf_dir))
+    return rows.orderBy("id", "price", *[c for c in rows.columns if c not in ("id", "price")]).limit(PREVIEW_ROWS)
 
 
 QUERIES = {
     "q_ageing_bins": q_ageing_bins,
+    "q_published_ageing": q_published_ageing,
     "q_next_state": q_next_state,
     "q_idle_days": q_idle_days,
     "q_refund_delta": q_refund_delta,
@@ -391,10 +430,14 @@ QUERIES = {
     "q_profile_contact": q_profile_contact,
     "q_profile_coverage": q_profile_coverage,
     "q_profile_orders": q_profile_orders,
+    "q_profile_latest_order": q_profile_latest_order,
+    "q_profile_reasons": q_profile_reasons,
+    "q_profile_columns": q_profile_columns,
     "q_issue_replacements": q_issue_replacements,
     "q_same_style_share": q_same_style_share,
     "q_recent_issues": q_recent_issues,
     "q_replacement_weekday": q_replacement_weekday,
+    "q_sku_revenue": q_sku_revenue,
     "q_sku_cohort": q_sku_cohort,
     "q_wcr_cumulative": q_wcr_cumulative,
     "q_cart_bookings": q_cart_bookings,
@@ -402,6 +445,7 @@ QUERIES = {
     "q_bookings_per_week": q_bookings_per_week,
     "q_cart_conversion": q_cart_conversion,
     "q_log_coverage": q_log_coverage,
+    "q_log_missing": q_log_missing,
     "q_user_devices": q_user_devices,
     "q_session_devices": q_session_devices,
     "q_device_switch": q_device_switch,

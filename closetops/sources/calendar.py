@@ -53,3 +53,30 @@ def calendar(spark: SparkSession, start: str = DEFAULT_START, end: str = DEFAULT
                 F.date_add(F.col("fy_start"), F.col("wk0") * 7).alias("fiscal_week_start"),
                 F.date_add(F.col("fy_start"), F.col("wk0") * 7 + 6).alias("fiscal_week_end"),
             ))
+
+
+def spanning(facts: DataFrame, *dates: str, margin_days: int = 0) -> DataFrame:
+    """The calendar from the first to the last date in the given columns of ``facts`` (one
+    aggregate; an empty table gives the default span)."""
+    days = [F.to_date(F.col(c)) for c in dates]
+    lo, hi = facts.agg(F.least(*[F.min(d) for d in days], F.lit(None).cast("date")),
+                       F.greatest(*[F.max(d) for d in days], F.lit(None).cast("date"))).first()
+    if lo is None:
+        return calendar(facts.sparkSession)
+    margin = dt.timedelta(days=margin_days)
+    return calendar(facts.sparkSession, (lo - margin).isoformat(), (hi + margin).isoformat())
+
+
+def on_calendar(facts: DataFrame, days: DataFrame, date: str | Column) -> DataFrame:
+    """``facts`` joined to the calendar rows of ``date``.
+
+    Null dates have no day and drop out, as in an inner join; a date the calendar does not hold
+    fails the query and names the date, so a calendar that is too short loses no rows unseen.
+    ``days`` keeps the name ``asofdate`` for its day.
+    """
+    day = F.to_date(F.col(date) if isinstance(date, str) else date)
+    held = days.select(F.col("asofdate").alias("_cal_match"), *days.columns)
+    j = facts.withColumn("_cal_day", day).where(F.col("_cal_day").isNotNull()).join(
+        held, F.col("_cal_day") == F.col("_cal_match"), "left")
+    missing = F.raise_error(F.concat(F.lit("no calendar row for "), F.col("_cal_day").cast("string"))).cast("boolean")
+    return j.where(F.when(F.col("_cal_match").isNotNull(), True).otherwise(missing)).drop("_cal_day", "_cal_match")
