@@ -92,7 +92,9 @@ SELECT cast(device_id as bigint) AS device_id, device FROM (VALUES
   (0, 'Desktop'), (1, 'Mobile'), (2, 'Tablet'), (3, 'App'), (4, 'Suspected Bots')) v(device_id, device)"""
 
 BINDINGS["browser_device"] = """
-SELECT cast(range as bigint) AS browser_id, cast(range % 5 as bigint) AS device_id FROM range(40)"""
+SELECT browser_id, browser_id % 5 AS device_id
+FROM (SELECT user_id * 3 + event_id % 3 AS browser_id FROM events
+      UNION SELECT o_custkey * 3 + o_orderkey % 3 FROM orders)"""
 
 BINDINGS["inventory_unit"] = f"""
 SELECT user_id * 4 + event_id % 4 AS id,
@@ -115,8 +117,8 @@ SELECT DISTINCT barcode, id AS unit_id FROM inventory_unit"""
 
 BINDINGS["pixel_raw2"] = """
 SELECT user_id AS uid,
-       event_id % 40 AS browser_id,
-       'M' || cast((user_id * 7 + event_id % 3) % 200 as varchar) AS style_name,
+       user_id * 3 + event_id % 3 AS browser_id,
+       'M' || cast((user_id * 7 + event_id % 3) % (SELECT max(p_partkey) FROM part) as varchar) AS style_name,
        CASE WHEN event_type = 'purchase' THEN 'checkout_complete'
             WHEN event_type = 'click' THEN 'rezo_add_to_cart' ELSE event_type END AS action_type,
        ts AS datetime_cst,
@@ -125,7 +127,7 @@ SELECT user_id AS uid,
 FROM events"""
 
 _CART_EVENTS = """(SELECT e.*, p.p_partkey, p.p_size, p.p_brand, p.p_type FROM events e
-   JOIN part p ON (e.user_id * 7 + e.event_id % 3) % 200 = p.p_partkey
+   JOIN part p ON (e.user_id * 7 + e.event_id % 3) % (SELECT max(p_partkey) FROM part) = p.p_partkey
    WHERE e.event_type IN ('click', 'purchase'))"""
 
 _LINES = """(SELECT * FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
@@ -153,7 +155,7 @@ SELECT 'E' || cast(event_id as varchar) AS reservation_booking_id,
        {_mail('user_id')} AS email,
        {_ptype('p_brand')} AS type,
        {_ptype('p_brand')} AS product_type,
-       {_barcode('user_id % 150', 'event_id % 4')} AS barcode,
+       {_barcode('user_id', 'event_id % 4')} AS barcode,
        'F' || 'E' || cast(event_id as varchar) AS fulfillment_id,
        'DELIVERED' AS last_fulfillment_status,
        'SHIPPED' AS last2nd_fulfillment_status,
@@ -200,7 +202,7 @@ SELECT {BOOKING_ID} AS reservation_booking_id,
        {_mail('o_custkey')} AS email,
        {_ptype('p_brand')} AS type,
        {_ptype('p_brand')} AS product_type,
-       {_barcode('l_partkey % 150', 'l_suppkey % 4')} AS barcode,
+       {_barcode('l_partkey', 'l_suppkey % 4')} AS barcode,
        'F' || {BOOKING_ID} AS fulfillment_id,
        {_status_at('l_orderkey % 3')} AS last_fulfillment_status,
        CASE WHEN 1 + l_orderkey % 3 > 1 THEN {_status_at('l_orderkey % 3 - 1')} END AS last2nd_fulfillment_status,
@@ -341,7 +343,7 @@ SELECT 'F' || {BOOKING_ID} AS id,
        {BOOKING_ID} AS booking_id,
        i + 1 AS seq,
        {_status_at('i')} AS status,
-       {_barcode('l_partkey % 150', 'l_suppkey % 4')} AS barcode,
+       {_barcode('l_partkey', 'l_suppkey % 4')} AS barcode,
        l_shipdate + to_hours(cast(i * 30 + l_linenumber as bigint)) AS updated_on,
        CASE WHEN l_partkey % 3 = 0 THEN 'C' || cast(l_partkey % 50 as varchar) END AS child_sku
 FROM (SELECT *, unnest(generate_series(0, l_orderkey % 3)) AS i FROM lineitem)"""
@@ -423,9 +425,9 @@ SELECT 'M' || cast(p_partkey as varchar) AS style_name,
 FROM part, (SELECT i, j FROM range(3) a(i), range(2) b(j)) g"""
 
 BINDINGS["browser_orders"] = """
-SELECT o_orderkey % 40 AS browser_id, o_orderkey AS order_id FROM orders
+SELECT o_custkey * 3 + o_orderkey % 3 AS browser_id, o_orderkey AS order_id FROM orders
 UNION ALL
-SELECT event_id % 40 AS browser_id, 1000000000 + event_id AS order_id FROM events WHERE event_type = 'purchase'"""
+SELECT user_id * 3 + event_id % 3 AS browser_id, 1000000000 + event_id AS order_id FROM events WHERE event_type = 'purchase'"""
 
 BINDINGS["shipping_method_time"] = """
 SELECT destination_zip_code, shipping_method_id, min(transit_days) AS transit_days FROM (
@@ -466,7 +468,7 @@ FROM lineitem l JOIN (
   FROM orders) n ON l.l_orderkey = n.order_id"""
 
 BINDINGS["finance_current_view_inventory"] = f"""
-SELECT DISTINCT {_barcode('l_partkey % 150', 'l_suppkey % 4')} AS barcode,
+SELECT DISTINCT {_barcode('l_partkey', 'l_suppkey % 4')} AS barcode,
        timestamp '2017-06-01 00:00:00' + to_days(cast((l_partkey % 150) * 5 + (l_suppkey % 4) * 3 as integer)) AS activated_on,
        cast((l_partkey % 150) * 3 + 100 as decimal(18,2)) AS cost
 FROM lineitem"""

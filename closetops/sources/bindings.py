@@ -15,8 +15,8 @@ Derivation rules (mirrored one-for-one by ``closetops.oracle.bindings_sql``):
 * supplier -> shipping-method transit times
 * nation  -> tax zones, showrooms
 
-Only the calendar, the 40-browser / 5-device map and the price-window grid are
-fixed-size dimensions; everything else grows with the input.
+Only the calendar, the 5 device kinds and the price-window grid are fixed-size
+dimensions; everything else, models, units and browsers included, grows with the input.
 """
 
 from __future__ import annotations
@@ -32,7 +32,6 @@ from .calendar import calendar
 INTERNAL_DOMAIN = "staff.example.com"
 PUBLIC_DOMAIN = "mail.example.org"
 DEVICE_NAMES = ["Desktop", "Mobile", "Tablet", "App", "Suspected Bots"]
-N_BROWSERS = 40
 FULFILLMENT_STATUSES = ["RESERVED", "SHIPPED", "ITEM_LIMBO", "PROBLEM_ITEM",
                         "DELIVERED", "PROBLEM_IN_PROGRESS"]
 
@@ -84,9 +83,9 @@ def booking_id_expr() -> Column:
                        _s(F.datediff(F.to_date("l_shipdate"), F.lit("1970-01-01").cast("date"))))
 
 
-def event_part_expr() -> Column:
-    """Part (model) an event refers to: each user browses three models."""
-    return (F.col("user_id") * 7 + F.col("event_id") % 3) % 200
+def browser_expr(user: Column, seed: Column) -> Column:
+    """Each user has three browsers."""
+    return user * 3 + seed % 3
 
 
 EVENT_ORDER_BASE = 1000000000
@@ -130,6 +129,15 @@ class Warehouse:
             timings[n] = round(time.perf_counter() - t0, 3)
         return timings
 
+    @cached_property
+    def _parts(self) -> int:
+        """The largest part key: models are as many as parts."""
+        return int(self.raw("part").agg(F.max("p_partkey")).first()[0] or 1)
+
+    def event_part(self) -> Column:
+        """Part (model) an event refers to: each user browses three models."""
+        return (F.col("user_id") * 7 + F.col("event_id") % 3) % self._parts
+
     # ------------------------------------------------------------------ dims
     @cached_property
     def dates(self) -> DataFrame:
@@ -142,9 +150,9 @@ class Warehouse:
 
     @cached_property
     def browser_device(self) -> DataFrame:
-        return (self.spark.range(N_BROWSERS)
-                .select(F.col("id").alias("browser_id"),
-                        (F.col("id") % len(DEVICE_NAMES)).alias("device_id")))
+        seen = (self.raw("events").select(browser_expr(F.col("user_id"), F.col("event_id")).alias("browser_id"))
+                .unionByName(self.raw("orders").select(browser_expr(F.col("o_custkey"), F.col("o_orderkey")).alias("browser_id"))))
+        return seen.distinct().select("browser_id", (F.col("browser_id") % len(DEVICE_NAMES)).alias("device_id"))
 
     # ---------------------------------------------------------------- events
     @cached_property
@@ -183,8 +191,8 @@ class Warehouse:
         e = self.raw("events")
         return e.select(
             F.col("user_id").alias("uid"),
-            (F.col("event_id") % N_BROWSERS).alias("browser_id"),
-            F.concat(F.lit("M"), _s(event_part_expr())).alias("style_name"),
+            browser_expr(F.col("user_id"), F.col("event_id")).alias("browser_id"),
+            F.concat(F.lit("M"), _s(self.event_part())).alias("style_name"),
             (F.when(F.col("event_type") == "purchase", "checkout_complete")
              .when(F.col("event_type") == "click", "rezo_add_to_cart")
              .otherwise(F.col("event_type"))).alias("action_type"),
@@ -197,7 +205,7 @@ class Warehouse:
     def _cart_events(self) -> DataFrame:
         e = self.raw("events").filter(F.col("event_type").isin("click", "purchase"))
         p = self.raw("part").select("p_partkey", "p_size", "p_brand", "p_type")
-        return e.join(p, event_part_expr() == F.col("p_partkey"), "inner")
+        return e.join(p, self.event_part() == F.col("p_partkey"), "inner")
 
     # -------------------------------------------------------------- lineitem
     def _lines(self) -> DataFrame:
@@ -243,7 +251,7 @@ class Warehouse:
             mail_expr(F.col("user_id")).alias("email"),
             product_type_expr(F.col("p_brand")).alias("type"),
             product_type_expr(F.col("p_brand")).alias("product_type"),
-            barcode_expr(F.col("user_id") % 150, F.col("event_id") % 4).alias("barcode"),
+            barcode_expr(F.col("user_id"), F.col("event_id") % 4).alias("barcode"),
             F.concat(F.lit("F"), bid).alias("fulfillment_id"),
             F.lit("DELIVERED").alias("last_fulfillment_status"),
             F.lit("SHIPPED").alias("last2nd_fulfillment_status"),
@@ -295,7 +303,7 @@ class Warehouse:
             mail_expr(F.col("o_custkey")).alias("email"),
             product_type_expr(F.col("p_brand")).alias("type"),
             product_type_expr(F.col("p_brand")).alias("product_type"),
-            barcode_expr(F.col("l_partkey") % 150, F.col("l_suppkey") % 4).alias("barcode"),
+            barcode_expr(F.col("l_partkey"), F.col("l_suppkey") % 4).alias("barcode"),
             F.concat(F.lit("F"), booking_id_expr()).alias("fulfillment_id"),
             status_at(last_i).alias("last_fulfillment_status"),
             F.when(n > 1, status_at(last_i - 1)).alias("last2nd_fulfillment_status"),
@@ -498,7 +506,7 @@ class Warehouse:
             booking_id_expr().alias("booking_id"),
             (F.col("i") + 1).alias("seq"),
             F.element_at(st, ((F.col("l_partkey") + F.col("i") * F.col("l_suppkey")) % 6 + 1).cast("int")).alias("status"),
-            barcode_expr(F.col("l_partkey") % 150, F.col("l_suppkey") % 4).alias("barcode"),
+            barcode_expr(F.col("l_partkey"), F.col("l_suppkey") % 4).alias("barcode"),
             (F.col("l_shipdate") + hours(F.col("i") * 30 + F.col("l_linenumber"))).alias("updated_on"),
             F.when(F.col("l_partkey") % 3 == 0, F.concat(F.lit("C"), _s(F.col("l_partkey") % 50))).alias("child_sku"),
         )
@@ -639,10 +647,10 @@ class Warehouse:
 
     @cached_property
     def browser_orders(self) -> DataFrame:
-        o = self.raw("orders").select((F.col("o_orderkey") % N_BROWSERS).alias("browser_id"),
+        o = self.raw("orders").select(browser_expr(F.col("o_custkey"), F.col("o_orderkey")).alias("browser_id"),
                                       F.col("o_orderkey").alias("order_id"))
         e = (self.raw("events").filter(F.col("event_type") == "purchase")
-             .select((F.col("event_id") % N_BROWSERS).alias("browser_id"),
+             .select(browser_expr(F.col("user_id"), F.col("event_id")).alias("browser_id"),
                      (F.lit(EVENT_ORDER_BASE) + F.col("event_id")).alias("order_id")))
         return o.unionByName(e)
 
@@ -709,9 +717,9 @@ class Warehouse:
     @cached_property
     def finance_current_view_inventory(self) -> DataFrame:
         l = self.raw("lineitem").select("l_partkey", "l_suppkey")
-        u, k = F.col("l_partkey") % 150, F.col("l_suppkey") % 4
+        u, k = F.col("l_partkey") % 150, F.col("l_suppkey") % 4  # of the unit's age and cost only
         return l.select(
-            barcode_expr(u, k).alias("barcode"),
+            barcode_expr(F.col("l_partkey"), k).alias("barcode"),
             (F.lit("2017-06-01 00:00:00").cast("timestamp_ntz") + days(u * 5 + k * 3)).alias("activated_on"),
             (u * 3 + 100).cast("decimal(18,2)").alias("cost"),
         ).distinct()

@@ -235,3 +235,13 @@ def test_publish_replaces_only_its_partitions(spark, tmp_path):
     assert rows(spark.read.parquet(path).select("id", "m")) == [(0, 0), (2, 0), (9, 1)]
     with pytest.raises(ValueError):
         publish(month, path=path, replace="partitions")
+
+
+def test_warehouse_dimensions_grow_with_the_input(spark):
+    """No fixed number of models, units or browsers."""
+    from closetops.registry import _wh
+    small, large = (_wh(spark, f"/root/testdata/{d}") for d in ("sf0.001", "sf0.01"))
+    for table, col in (("pixel_raw2", "style_name"), ("browser_device", "browser_id"), ("order_group_reservation", "barcode"),
+                       ("fulfillment", "barcode"), ("finance_current_view_inventory", "barcode")):
+        n, m = (getattr(w, table).select(col).distinct().count() for w in (small, large))
+        assert m > 4 * n, (table, n, m)
