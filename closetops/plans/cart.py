@@ -160,9 +160,27 @@ def _device_clicks(pr: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFram
     return pr.join(dev, "browser_id", "inner")
 
 
+def click_days(pr: DataFrame) -> DataFrame:
+    """The click log with the day of each click as ``click_day``, its partition column when it is stored by day."""
+    return pr if "click_day" in pr.columns else pr.withColumn("click_day", F.to_date("datetime_cst"))
+
+
+def _session_clicks(sc: DataFrame, pr: DataFrame) -> DataFrame:
+    """Clicks of the sessions' users on the sessions' days.
+
+    The days come first, as a semi-join whose right side has at most one row per day of the
+    sessions' span (so it may be broadcast): a log stored by day reads no other partitions.
+    """
+    wanted = _session_days(sc).select(F.col("uid").alias("_wuid"), F.col("_day").alias("_wday")).distinct()
+    days = wanted.select(F.col("_wday").alias("_dday")).distinct()
+    c = click_days(pr)
+    c = c.join(F.broadcast(days), F.col("click_day") == F.col("_dday"), "left_semi")
+    return c.join(wanted, (F.col("uid") == F.col("_wuid")) & (F.col("click_day") == F.col("_wday")), "left_semi")
+
+
 def user_devices(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFrame, uco: DataFrame) -> DataFrame:
     users = sc.select("uid").distinct()
-    ud = (_device_clicks(pr.join(users, "uid", "left_semi"), bd, devices)
+    ud = (_device_clicks(pr.join(users, "uid", "left_semi").select("uid", "browser_id").distinct(), bd, devices)
           .select("uid", "device").distinct())
     fo = first_order_dates(uco)
     return (ud.join(fo, "uid", "left")
@@ -181,8 +199,9 @@ def _session_days(sc: DataFrame) -> DataFrame:
 
 
 def session_devices(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFrame:
-    days = (_device_clicks(pr, bd, devices)
-            .select(F.col("uid").alias("_cuid"), F.to_date("datetime_cst").alias("_cday"), "device").distinct())
+    seen = _session_clicks(sc, pr).select("uid", "click_day", "browser_id").distinct()
+    days = (_device_clicks(seen, bd, devices)
+            .select(F.col("uid").alias("_cuid"), F.col("click_day").alias("_cday"), "device").distinct())
     x = _session_days(sc).join(days, (F.col("uid") == days["_cuid"]) & (F.col("_day") == days["_cday"]), "inner")
     return x.select("device", *SESSION_COLS).distinct()
 
@@ -190,11 +209,14 @@ def session_devices(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFr
 def first_last_device(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFrame,
                       lo: str, hi: str) -> DataFrame:
     """First and last (non-bot) device of each session whose first add is in [lo, hi]."""
-    c = _device_clicks(pr, bd, devices).filter(F.col("device") != BOT_DEVICE)
-    click = F.struct("datetime_cst", "device")  # clicks at one time are told apart by device
-    per_day = c.groupBy(F.col("uid").alias("_cuid"), F.to_date("datetime_cst").alias("_cday")).agg(
-        F.min(click).alias("_first"), F.max(click).alias("_last"))
     s = sc.filter(F.col("first_addto_SC").between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
+    # First and last click per browser first, then per device; clicks at one time are told apart by device.
+    seen = _session_clicks(s, pr).groupBy("uid", "click_day", "browser_id").agg(
+        F.min("datetime_cst").alias("_lo"), F.max("datetime_cst").alias("_hi"))
+    c = _device_clicks(seen, bd, devices).filter(F.col("device") != BOT_DEVICE)
+    per_day = c.groupBy(F.col("uid").alias("_cuid"), F.col("click_day").alias("_cday")).agg(
+        F.min(F.struct(F.col("_lo").alias("at"), "device")).alias("_first"),
+        F.max(F.struct(F.col("_hi").alias("at"), "device")).alias("_last"))
     x = _session_days(s).join(per_day, (F.col("uid") == per_day["_cuid"]) & (F.col("_day") == per_day["_cday"]),
                               "inner")
     keys = ["uid", "LPD_week_start", "style_count", "first_order", "first_addto_SC"]
@@ -205,9 +227,11 @@ def first_last_device(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: Data
 
 def action_devices(sc: DataFrame, pr: DataFrame, bd: DataFrame, devices: DataFrame) -> DataFrame:
     """Add-to-cart / checkout clicks inside each session, with the session's distinct device count."""
-    c = (_device_clicks(pr, bd, devices).filter(F.col("action_type").isin(ADD_TO_CART, CHECKOUT))
-         .select(F.col("uid").alias("_cuid"), F.to_date("datetime_cst").alias("_cday"), "device",
-                 "action_type", "datetime_cst").distinct())
+    seen = (_session_clicks(sc, pr.filter(F.col("action_type").isin(ADD_TO_CART, CHECKOUT)))
+            .select("uid", "click_day", "browser_id", "action_type", "datetime_cst").distinct())
+    c = (_device_clicks(seen, bd, devices)
+         .select(F.col("uid").alias("_cuid"), F.col("click_day").alias("_cday"), "device", "action_type", "datetime_cst")
+         .distinct())
     vf = (_session_days(sc).join(c, (F.col("uid") == c["_cuid"]) & (F.col("_day") == c["_cday"]), "inner")
           .select("device", "action_type", "datetime_cst", *SESSION_COLS).distinct())
     cnt = (vf.groupBy(F.col("uid").alias("_auid"), F.col("LPD_week_start").alias("_awk"))

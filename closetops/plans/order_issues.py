@@ -96,6 +96,58 @@ def _classic_rental(po: DataFrame) -> DataFrame:
                      & exclude_prefix_digits("sku", SPECIAL_SKU_PREFIXES))
 
 
+def _refunds(fli: DataFrame, fsh: DataFrame) -> DataFrame:
+    """Confirmed outgoing subtotal per order, counted once per confirmation."""
+    conf = _confirmed_count(fsh)
+    return (fli.filter(F.col("direction") == "OUT")
+            .join(conf, fli["id"] == conf["fli_id"], "inner")
+            .groupBy(F.col("order_id").alias("_fo"))
+            .agg(F.sum(F.col("subtotal") * F.col("_conf")).alias("_refund")))
+
+
+#: Bits of an order's mask of annotation groups.
+ISSUE_BITS = {"RFF": 1, "QUALITY_ISSUE": 2, "SHIPPING": 4}
+
+
+def order_rollup(po: DataFrame, af: DataFrame, ogr: DataFrame, fli: DataFrame, fsh: DataFrame) -> DataFrame:
+    """The rows of ``issue_rollup(order_issues(..))`` without a row per booking, annotation and replacement.
+
+    Each side is reduced to what the rollup asks of it before they meet: bookings to one row per
+    (order, customer, begin date, e-mail), annotations to a bit mask per order, replacements to the
+    least and greatest order group per (order, reason).  Some booking's group differs from some
+    replacement's unless all four bounds are one group.  What is joined is as large as the result.
+    """
+    keys = ["order_id", "uid", "rental_begin_date", "email"]
+    po_group = F.when(F.col("po_category").isNotNull(), F.col("group_id"))
+    bookings = _classic_rental(po).groupBy(*keys).agg(
+        F.countDistinct("group_id").alias("group_cnt"), F.count("po_category").alias("_npo"),
+        F.min(po_group).alias("_plo"), F.max(po_group).alias("_phi"))
+    bit = F.lit(0)
+    for group, b in ISSUE_BITS.items():
+        bit = F.when(F.col("annotation_group") == group, b).otherwise(bit)
+    masks = (af.filter(F.col("annotation_group").isin(*ISSUE_BITS)).groupBy(F.col("order_id").alias("_ao"))
+             .agg(F.bit_or(bit).alias("_mask")))
+    rp = replacements(af, ogr).groupBy(F.col("order_id").alias("_ro"), "detail_value").agg(
+        F.min("group_id").alias("_rlo"), F.max("group_id").alias("_rhi"))
+    x = (bookings.join(masks, F.col("order_id") == F.col("_ao"), "left")
+         .join(rp, F.col("order_id") == F.col("_ro"), "left")
+         .join(_refunds(fli, fsh), F.col("order_id") == F.col("_fo"), "left"))
+    oid, dv = F.col("order_id"), F.col("detail_value")
+    has = {g: F.coalesce(F.col("_mask"), F.lit(0)).bitwiseAND(F.lit(b)) > 0 for g, b in ISSUE_BITS.items()}
+    one_group = (F.col("_plo") == F.col("_phi")) & (F.col("_rlo") == F.col("_rhi")) & (F.col("_plo") == F.col("_rlo"))
+    return x.select(
+        *keys, "detail_value", F.coalesce("_refund", F.lit(0)).cast("decimal(38,4)").alias("refund_amount"), "group_cnt",
+        F.col("_ro").alias("rpl_order_id"),
+        F.when(has["RFF"], oid).alias("fit_order_id"),
+        F.when(has["QUALITY_ISSUE"], oid).alias("quality_order_id"),
+        F.when(has["SHIPPING"], oid).alias("delivery_order_id"),
+        F.when(F.col("_npo") > 0, oid).alias("po_order_id"),
+        F.when(has["RFF"] & (dv == "FIT"), oid).alias("rpl_fit_order_id"),
+        F.when(has["QUALITY_ISSUE"] & dv.like("%QUALITY%"), oid).alias("rpl_quality_order_id"),
+        F.when(has["SHIPPING"] & dv.isin(*DELIVERY_REPLACEMENT_REASONS), oid).alias("rpl_delivery_order_id"),
+        F.when(dv.like("%PO%") & ~one_group, oid).alias("rpl_po_order_id"))
+
+
 def order_issues(po: DataFrame, af: DataFrame, ogr: DataFrame, fli: DataFrame, fsh: DataFrame,
                  refund_view: DataFrame) -> DataFrame:
     """Booking-level issue facts of classic rental orders (distinct rows)."""
@@ -106,11 +158,7 @@ def order_issues(po: DataFrame, af: DataFrame, ogr: DataFrame, fli: DataFrame, f
     groups = af.select(F.col("order_id").alias("_ao"), "annotation_group").distinct()
     rp = replacements(af, ogr).select(F.col("order_id").alias("_ro"), F.col("group_id").alias("_rg"),
                                       "detail_value").distinct()
-    conf = _confirmed_count(fsh)
-    rf = (fli.filter(F.col("direction") == "OUT")
-          .join(conf, fli["id"] == conf["fli_id"], "inner")
-          .groupBy(F.col("order_id").alias("_fo"))
-          .agg(F.sum(F.col("subtotal") * F.col("_conf")).alias("_refund")))
+    rf = _refunds(fli, fsh)
     vrf = refund_view.select(F.col("order_id").alias("_vo"), F.col("refund").alias("_vref")).distinct()
     x = (p.join(groups, p["order_id"] == groups["_ao"], "left")
          .join(rp, p["order_id"] == rp["_ro"], "left")

@@ -89,8 +89,13 @@ def _order_issues(wh):
                            wh.financial_line_item, wh.fli_status_history, _refund_view(wh))
 
 
+def _rollup(wh):
+    return oi.order_rollup(wh.ogr_po, wh.yp_autumn_full, wh.order_group_reservation, wh.financial_line_item,
+                           wh.fli_status_history)
+
+
 def _summary(wh):
-    return oi.issue_summary(oi.issue_rollup(_order_issues(wh)), wh.dates, wh.v_ot_orderdata)
+    return oi.issue_summary(_rollup(wh), wh.dates, wh.v_ot_orderdata)
 
 
 def q_refund_delta(spark, sf_dir):
@@ -102,7 +107,7 @@ def q_order_issues(spark, sf_dir):
 
 
 def q_issue_rollup(spark, sf_dir):
-    return oi.issue_rollup(_order_issues(_wh(spark, sf_dir)))
+    return _rollup(_wh(spark, sf_dir))
 
 
 def q_issue_summary(spark, sf_dir):

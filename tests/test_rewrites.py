@@ -245,3 +245,53 @@ def test_warehouse_dimensions_grow_with_the_input(spark):
                        ("fulfillment", "barcode"), ("finance_current_view_inventory", "barcode")):
         n, m = (getattr(w, table).select(col).distinct().count() for w in (small, large))
         assert m > 4 * n, (table, n, m)
+
+
+# ------------------------------------------------------------- rollup and click log
+def test_rollup_equals_the_rollup_of_the_joined_facts(spark):
+    from closetops import registry
+    from closetops.plans import order_issues as oi
+    wh = registry._wh(spark, SF_SMALL)
+    want = oi.issue_rollup(registry._order_issues(wh))
+    got = registry._rollup(wh).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 1000
+
+
+def test_rollup_of_orders_with_several_groups(spark):
+    """Bookings, annotations and replacements of one order in all combinations of groups."""
+    from closetops.plans import order_issues as oi
+    po, af, ogr = [], [], []
+    for o in range(64):
+        for g in range(3):
+            if o >> g & 1:
+                po.append((o, 1, g, dt.datetime(2020, 1, 1), dt.datetime(2020, 1, 1), f"b{o}-{g}", dt.datetime(2020, 1, 1), "e", "D",
+                           dt.date(2020, 1, 2), dt.date(2020, 1, 1 + o % 2 * g), "x" if (o + g) % 3 else None, "CLASSIC", "RENTAL", "P1"))
+            if o >> (3 + g) & 1:
+                ogr.append((f"r{o}-{g}", g, "P1"))
+                af.append((o, "REPLACEMENT", "reason", f"r{o}-{g}", ["PO_SWAP", "FIT", None][(o + g) % 3]))
+        af.append((o, ["RFF", "SHIPPING", "QUALITY_ISSUE", "OTHER"][o % 4], "reason", None, None))
+    po = spark.createDataFrame(po, "order_id long, uid int, group_id long, order_datetime_est timestamp_ntz, group_created_est "
+                               "timestamp_ntz, reservation_booking_id string, reservation_created timestamp_ntz, email string, type string, "
+                               "last_possible_begin_date date, rental_begin_date date, po_category string, order_type string, "
+                               "merchandise_category string, sku string")
+    af = spark.createDataFrame(af, "order_id long, annotation_group string, detail_name string, annotation_target_id string, detail_value string")
+    ogr = spark.createDataFrame(ogr, "reservation_booking_id string, group_id long, sku string")
+    fli = spark.createDataFrame([(1, 3, "OUT", 2), (2, 3, "IN", 9), (3, 7, "OUT", 4)], "id int, order_id long, direction string, subtotal int")
+    fsh = spark.createDataFrame([(1, "CONFIRMED"), (1, "CONFIRMED"), (2, "CONFIRMED")], "fli_id int, to_status string")
+    none = spark.createDataFrame([], "order_id long, refund decimal(38,6)")
+    want = oi.issue_rollup(oi.order_issues(po, af, ogr, fli, fsh, none))
+    got = oi.order_rollup(po, af, ogr, fli, fsh).select(*want.columns)
+    assert rows(got) == rows(want) and got.where("rpl_po_order_id IS NOT NULL").count() > 5
+
+
+def test_a_click_log_stored_by_day_is_read_for_session_days_only(spark, tmp_path):
+    from closetops import registry
+    from closetops.plans import cart
+    wh = registry._wh(spark, SF_SMALL)
+    cart.click_days(wh.pixel_raw2).write.partitionBy("click_day").parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    registry._sessions(wh).write.parquet(f"{tmp_path}/sessions")
+    sessions = spark.read.parquet(f"{tmp_path}/sessions").where("uid % 7 = 1")
+    got = cart.session_devices(sessions, log, wh.browser_device, wh.devices)
+    assert "dynamicpruning" in plan(got)
+    assert rows(got) == rows(cart.session_devices(sessions, wh.pixel_raw2, wh.browser_device, wh.devices))
