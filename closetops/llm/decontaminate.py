@@ -90,11 +90,18 @@ def contained(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_co
             .select(*key, "item", "n_shared", "n_item", "containment"))
 
 
-def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose text holds no item."""
-    bad = stage(contained(docs, items).select(F.col("id").alias("__i"), F.col("id_text").alias("__t")).distinct())
-    return docs.join(small(bad), F.col("doc_id").eqNullSafe(F.col("__i"))
-                     & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__t")), "left_anti")
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text holds no item.
+
+    Null and empty texts hold none and stay; a null id is an id; of rows that share an id those
+    go whose text holds an item; repeated rows go or stay together; empty tables are no special
+    case; further columns stay, whatever their names.
+    """
+    bad = stage(contained(docs, items, id_col, text_col).select(F.col("id").alias("__i"), F.col("id_text").alias("__t")).distinct())
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col("row").getField(text_col), F.lit(""))
+    return rows.join(small(bad), F.col("row").getField(id_col).eqNullSafe(F.col("__i"))
+                     & (F.xxhash64(text) == F.col("__t")), "left_anti").select("row.*")
 
 
 def op7(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -232,6 +232,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     It is a row with the least id of the group (null only if all are), of these one with the least
     fingerprint.  Rows that share an id are told apart by their fingerprint; of equal ones any stays.
+    Null texts are empty; an empty table gives no rows; further columns stay, whatever their names.
     """
     fps = stage(fingerprints(docs, id_col, text_col, shingle))
     heads = (fps.join(_grouped(fps, max_bits), "fp").where("id <=> component_id")
@@ -241,14 +242,15 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     held = stage(fps.join(keep, F.col("id").eqNullSafe(F.col("__keep")), "left_semi").groupBy("id").count()
                  .where("count > 1").select(F.col("id").alias("__rep")))
     once = keep.join(held, F.col("__keep").eqNullSafe(F.col("__rep")), "left_anti")
-    on = F.col(id_col).eqNullSafe(F.col("__keep"))
-    kept = docs.join(once, on, "left_semi")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))  # no name clashes inside
+    row_id = F.col("row").getField(id_col)
+    kept = rows.join(once, row_id.eqNullSafe(F.col("__keep")), "left_semi")
     if held.isEmpty():
-        return kept
-    again = docs.join(held, F.col(id_col).eqNullSafe(F.col("__rep")), "left_semi")
-    with_fp = again.select("*", _fp(shingle)(F.col(text_col)).alias("__f"))
-    one = with_fp.join(keep, on & (F.col("__f") == F.col("__fp")), "left_semi")
-    return kept.unionByName(one.dropDuplicates([id_col, "__f"]).drop("__f"))
+        return kept.select("row.*")
+    again = rows.join(held, row_id.eqNullSafe(F.col("__rep")), "left_semi")
+    with_fp = again.select("row", row_id.alias("__id"), _fp(shingle)(F.col("row").getField(text_col)).alias("__f"))
+    one = with_fp.join(keep, F.col("__id").eqNullSafe(F.col("__keep")) & (F.col("__f") == F.col("__fp")), "left_semi")
+    return kept.unionByName(one.dropDuplicates(["__id", "__f"]).select("row")).select("row.*")
 
 
 def op2(docs: DataFrame) -> DataFrame:
