@@ -181,16 +181,11 @@ def test_op8_against_brute_force(spark):
             row = new
         return row[-1]
     at = [(i, n, normal(x)) for i, t in enumerate(texts) for n, x in enumerate((t or "").split("\n"))]
-
-    def sim(norm):
-        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in norm.split(" ")]
-        return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
-    at = [(i, n, x, sim(x)) for i, n, x in at if x]
+    at = [(i, n, x) for i, n, x in at if x]
     group = list(range(len(at)))
-    for i, (_, _, x, s) in enumerate(at):
-        for j, (_, _, y, t) in enumerate(at[:i]):
-            if ((s ^ t).bit_count() <= 3 and group[i] != group[j]
-                    and edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)):
+    for i, (_, _, x) in enumerate(at):
+        for j, (_, _, y) in enumerate(at[:i]):
+            if group[i] != group[j] and edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9):
                 old, new = group[i], group[j]
                 group = [new if g == old else g for g in group]
     first = {}
