@@ -35,6 +35,8 @@ RATIO = 1.9
 DIGESTS = (32, 40, 56, 64, 96, 128)
 DIGEST = re.compile("|".join(f"[0-9a-f]{{{n}}}|[0-9A-F]{{{n}}}" for n in DIGESTS))
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+#: Stretches of a run between its marks.
+STRETCH = re.compile(r"[A-Za-z0-9]{16,}")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
@@ -58,15 +60,27 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+def is_random(run: str, n_tokens, ratio: float = RATIO) -> bool:
+    """Few characters per token, and no number, digest or identifier."""
+    return not (run.isdigit() or DIGEST.fullmatch(run) or UUID.fullmatch(run)) and (
+        len(run) < ratio * n_tokens(run) and not is_identifier(run, n_tokens, ratio))
+
+
 def random_spans(text: str, n_tokens, taken: list[tuple[str, int, int]], ratio: float = RATIO) -> list[tuple[str, int, int]]:
-    """Runs with few characters per token that are no digest or identifier and touch no span in ``taken``."""
+    """Random runs, and random stretches between the marks of other runs (a path or a name before a
+    key must not hide it), that touch no span in ``taken``."""
     out = []
     for m in RUN.finditer(text):
         run, a, b = m[0], m.start(), m.end()
-        if any(x < b and a < y for _, x, y in taken) or DIGEST.fullmatch(run) or UUID.fullmatch(run):
+        if UUID.fullmatch(run):
             continue
-        if not run.isdigit() and len(run) < ratio * n_tokens(run) and not is_identifier(run, n_tokens, ratio):
+        if not any(x < b and a < y for _, x, y in taken) and is_random(run, n_tokens, ratio):
             out.append(("random", a, b))
+            continue
+        for s in STRETCH.finditer(run):
+            x, y = a + s.start(), a + s.end()
+            if s[0] != run and not any(i < y and x < j for _, i, j in taken) and is_random(s[0], n_tokens, ratio):
+                out.append(("random", x, y))
     return out
 
 
