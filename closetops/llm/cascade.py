@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
+from copy import copy
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -98,6 +99,10 @@ RULES = (
 _NOT_DIGITS = bytes(x for x in range(256) if not 48 <= x <= 57)
 
 
+#: What is computed of every text, whatever the rules say.
+OUTPUT = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def ordered(docs: DataFrame, text_col: str, rules: Sequence[Rule], sample: int = SAMPLE) -> list[Rule]:
     """The rules by rejection per cost, each given those before it, on at most ``sample`` documents
     that pass the base.  Rules that reject nothing there come last, the cheapest first."""
@@ -110,10 +115,13 @@ def ordered(docs: DataFrame, text_col: str, rules: Sequence[Rule], sample: int =
             for t in map(Text, p[text_col]):
                 if t.base_failed:
                     continue
+                for name in OUTPUT:
+                    getattr(t, name)
                 out = []
                 for r in rules:
+                    fresh = copy(t)  # with what the output needs anyway, and nothing that another rule worked out
                     began = time.perf_counter()
-                    out.append((r.rejects(t), time.perf_counter() - began))
+                    out.append((r.rejects(fresh), time.perf_counter() - began))
                 yield pd.DataFrame({"rejected": [[bool(x) for x, _ in out]], "seconds": [[s for _, s in out]]})
 
     got = (docs.select(text_col).sample(fraction=min(1.0, 2 * sample / n), seed=1).limit(sample)
@@ -144,13 +152,12 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     @pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
                 "base_failed boolean, kept boolean")
     def judge(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
         for s in parts:
             rows = []
             for t in map(Text, s):
                 kept = not t.base_failed and not any(r.rejects(t) for r in order)  # any() stops at the first
-                rows.append((*(getattr(t, n) for n in names), kept))
-            yield pd.DataFrame(rows, columns=[*names, "kept"])
+                rows.append((*(getattr(t, n) for n in OUTPUT), kept))
+            yield pd.DataFrame(rows, columns=[*OUTPUT, "kept"])
 
     return docs.select(F.col(id_col).alias("id"), judge(F.col(text_col)).alias("j")).select("id", "j.*")
 
