@@ -39,8 +39,8 @@ MARKED_SLOT = 2
 #: Elements whose paths, to this depth and outside articles, tell the groups of pages.
 OUTER, OUTER_DEPTH = {"div", "section", "article", "main", "header", "footer", "nav", "aside", "table", "form"}, 4
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|</?[A-Za-z](?:[^>\"']|\"[^\"]*\"|'[^']*')*>|</?[A-Za-z][^<>]*(?:>|(?=<)|\Z)", re.S)
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^<>]*(?:>|(?=<)|\Z)", re.S)
+TAG, STOP = re.compile(r"</?[A-Za-z]"), re.compile(r"[>\"']")
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 MARKS = {"class", "id", "role"}
@@ -78,6 +78,37 @@ class Node:
         self.tag, self.path, self.other, self.mark = tag, path, other, mark
 
 
+def _tag_ends(page: str):
+    """Function from a place inside a tag to its end, quoted values skipped, or None if it has none.
+
+    Places are asked for from left to right.  Quotes from which a tag did not end are noted and the
+    next mark is kept, so a page is gone through once, however its quotes pair.
+    """
+    lost: set[int] = set()
+    kept = [0, -1]  # from the first to the second of these places there is no mark before the second
+
+    def mark(at: int) -> int:
+        if not kept[0] <= at <= kept[1]:
+            m = STOP.search(page, at)
+            kept[:] = at, m.start() if m else len(page)
+        return kept[1]
+
+    def end(at: int) -> int | None:
+        seen, stop = [], mark(at)
+        while stop < len(page) and stop not in lost:
+            if page[stop] == ">":
+                return stop + 1
+            seen.append(stop)
+            partner = page.find(page[stop], stop + 1)
+            if partner < 0:
+                break
+            m = STOP.search(page, partner + 1)
+            stop = m.start() if m else len(page)
+        lost.update(seen)
+        return None
+    return end
+
+
 def _node(parent: Node, tag: str, source: str) -> Node:
     marks = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(source) if k.lower() in MARKS}
     name = ".".join([tag, *sorted(f"{k}={v}".replace("/", "|").replace("#", "|") for k, v in marks.items())])
@@ -124,13 +155,16 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
             if open_[i].tag in barrier:
                 return
 
-    at, end = 0, len(page)
+    at, end, tag_end = 0, len(page), _tag_ends(page)
     while at < end:
         m = TOKEN.search(page, at)
         say(page[at:m.start() if m else end])
         if not m:
             break
-        at, source = m.end(), m[0]
+        at = m.end()
+        if TAG.match(m[0]):
+            at = tag_end(m.start() + 2) or at
+        source = page[m.start():at]
         if source[1] in "!?":
             if source.startswith("<![CDATA["):
                 say(source[9:].removesuffix("]]>").replace("&", "&amp;"))
