@@ -40,7 +40,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("decontamination", decontamination),
           ("mixture", mixture), ("shards", shards)]
 
-#: Two stages (classifier, SimHash) are beyond SQL; tests hold the stages against brute force.
+#: Two stages (classifier, SimHash) are beyond SQL; the tests run the stages after the classifier on a table of edge rows
+#: whose results are known by hand.
 ORACLE_SQL = None
 
 
