@@ -1,17 +1,22 @@
 """Main text of web pages by deducing the templates of each host.
 
 Pages of a host with the same outer elements share a template; a page that is alone with its own
-takes what all pages of the host give.
+takes what all pages of the host give.  Pages with equal html count once.
 
 A page is read as a sequence of tokens: start tags named by their path from the
-root (with class, id and role), and literal texts named by path and hash.  Two
+root (with class, id and role), and literal texts named by path and hash (numbers between words count alike, but in headings).  Two
 tokens of a host belong to one equivalence class if they occur equally often
 on each of its pages, that is, share their occurrence vector.  The vectors are
 never gathered: a sum over the pages of a hash of (page, count) stands for
-each, so the classes of a host of any size come from grouped sums.  Classes that are large and frequent are the template;
-they nest as their paths do (their order is not checked).  The one slot of the template that holds the article is
-chosen per group of pages, and what the pages have in that slot, less literal texts of the template
-and the parts below it that are marked as something else, is their main text.
+each, so the classes of a host of any size come from grouped sums.
+
+Classes that are large and frequent are candidates.  A token stays in its class if it has the same rank
+among the class's tokens on each page, by its first and by its last place, and if the class lies in the same gap of the
+same class around it on each page; tokens out of order, and classes that interleave, leave the template.
+The slots are what the template's tags hold.  The one with the article is
+chosen per group of pages (an article or main element, else the deepest that holds nearly all text).  Of the slots
+below it, and outside article and main elements, those whose texts rotate among few values go, as do literal texts of the
+template and the parts that are marked as something else; what the pages have in the other ones is their main text.
 """
 
 from __future__ import annotations
@@ -28,12 +33,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ..operators import stage
+from .common import BROADCAST_ROWS
 
 #: A class is part of the template if it has at least this many tokens and occurs on this part of the host's pages.
 CLASS_TOKENS, SUPPORT = 2, 0.5
 #: Part of a group's text that a slot holds if nothing names it; part of the pages that have a literal text of the
 #: template; least number of different pages of a group.
 FULL, SAME_PAGES = 0.9, 2
+#: A slot's texts rotate if it has at least this many, each on average this often.
+ROTATING, TURNS = 6, 2
+#: Elements nested deeper than this, or below a longer path, take the path of the one around them.
+DEPTH, PATH = 100, 4000
 #: A slot inside an element with a marked class must hold more text than this many times what is in no such element.
 MARKED_SLOT = 2
 #: Elements whose paths, to this depth and outside articles, tell the groups of pages.
@@ -41,8 +51,11 @@ OUTER, OUTER_DEPTH = {"div", "section", "article", "main", "header", "footer", "
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[A-Za-z][^<>]*(?:>|(?=<)|\Z)", re.S)
 TAG, STOP = re.compile(r"</?[A-Za-z]"), re.compile(r"[>\"']")
+INSIDE, HEADING, DIGITS = re.compile(r"/(?:(?:article|main)\b|[^/]*role=(?:main|article))"), re.compile(r"h[1-6]$"), re.compile("[0-9]+")
+#: Numbers that stand alone, and a letter: texts that differ in such numbers only are one literal.
+NUMBER, LETTER = re.compile(r"\b[0-9]+\b"), re.compile(r"[^\W\d_]")
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
-ATTRIBUTE = re.compile(r"""([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+ATTRIBUTE = re.compile(r"""(?<![A-Za-z-])([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 MARKS = {"class", "id", "role"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 RAW = {"script", "style", "textarea", "noscript", "template", "iframe", "xmp", "noembed", "noframes"}
@@ -72,10 +85,10 @@ class Node:
     """An open element: its tag, path of names with marks, whether its tag or that of one around it says that its content
     is something other than the article, and the path of the innermost one whose class, id or role does ("" if none)."""
 
-    __slots__ = ("tag", "path", "other", "mark")
+    __slots__ = ("tag", "path", "other", "mark", "depth")
 
-    def __init__(self, tag: str, path: str, other: bool, mark: str):
-        self.tag, self.path, self.other, self.mark = tag, path, other, mark
+    def __init__(self, tag: str, path: str, other: bool, mark: str, depth: int = 0):
+        self.tag, self.path, self.other, self.mark, self.depth = tag, path, other, mark, depth
 
 
 def _tag_ends(page: str):
@@ -116,17 +129,18 @@ def _node(parent: Node, tag: str, source: str) -> Node:
     said = any(MARKED.search(v) for v in marks.values()) or outside and any(map(HEADER.search, marks.values()))
     hidden = re.search(r"\s(?:hidden|aria-hidden\s*=\s*.?true)(?:[\s=/>]|$)", source) is not None
     body = tag in ("html", "body", "article", "main")  # a marked body is still the page
-    path = f"{parent.path}/{name}"
+    deep = parent.depth >= DEPTH or len(parent.path) + len(name) >= PATH
+    path = parent.path if deep else f"{parent.path}/{name}"
     return Node(tag, path, parent.other or tag in OTHER or ((tag == "header" and outside or hidden) and not body),
-                path if said and not body else parent.mark)
+                path if said and not body else parent.mark, parent.depth + 1)
 
 
-def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
-    """Count of start tags by path; blocks (path, raw text with references decoded, mark) in page order, without those
-    that are something other than the article by their tags."""
-    tags: Counter = Counter()
-    blocks: list[tuple[str, str, str]] = []
+def read(page: str) -> list[tuple[str, str | None, str]]:
+    """What a page holds, in its order: start tags (path, None, "") and blocks (path, text with references decoded, mark),
+    without the blocks that are something other than the article by their tags."""
+    found: list[tuple[str, str | None, str]] = []
     open_ = [Node("", "", False, "")]
+    n_open: Counter = Counter()
     text: list[str] = []
     block_of = [open_[0]]
 
@@ -134,7 +148,7 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
         if text:
             said = " ".join("".join(text).split())
             if said and not block_of[0].other:
-                blocks.append((block_of[0].path, said, block_of[0].mark))
+                found.append((block_of[0].path, said, block_of[0].mark))
             text.clear()
 
     def say(raw: str):
@@ -147,9 +161,12 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
             text.append(html.unescape(raw))
 
     def close(tags_, barrier):
+        if not any(n_open[t] for t in tags_):
+            return
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in tags_:
                 flush()
+                n_open.subtract(x.tag for x in open_[i:])
                 del open_[i:]
                 return
             if open_[i].tag in barrier:
@@ -171,7 +188,7 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
             continue
         tag = NAME.match(source)[1].lower()
         if source[1] == "/":
-            if any(x.tag == tag for x in open_):
+            if n_open[tag]:
                 if tag not in INLINE:
                     flush()
                 close({tag}, () if tag not in INLINE else BARRIER)
@@ -186,7 +203,7 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
             close({"p"}, BARRIER)
         node = _node(open_[-1], tag, source)
         if tag not in INLINE:
-            tags[node.path] += 1
+            found.append((node.path, None, ""))
         if tag in VOID or source.endswith("/>") and tag in {"path", "use", "circle", "rect"}:
             continue
         if tag in RAW:
@@ -194,96 +211,176 @@ def read(page: str) -> tuple[Counter, list[tuple[str, str, str]]]:
             at = m.end() if m else end
             continue
         open_.append(node)
+        n_open[tag] += 1
     flush()
-    return tags, blocks
+    return found
+
+
+def _last(path: str) -> str:
+    """The tag of a path's last element."""
+    return re.split(r"[.#]", path.rpartition("/")[2])[0]
 
 
 def _literal(path: str, text: str) -> str:
-    return f"{path}#{xxhash.xxh64_hexdigest(text)}"
+    alike = not HEADING.match(_last(path)) and LETTER.search(text)
+    return f"{path}#{xxhash.xxh64_hexdigest(NUMBER.sub('0', text) if alike else text)}"
 
 
-def _structure(page: str | None) -> int:
+def _structure(found: list) -> int:
     """A hash of the set of paths of a page's outer elements; digits count alike."""
-    tags, _ = read(page or "")
-    outer = {p for p in tags if p.count("/") <= OUTER_DEPTH and re.split(r"[.#]", p.rpartition("/")[2])[0] in OUTER
-             and not re.search(r"/(article|main)\b[^/]*/", p)}
-    return xxhash.xxh64_intdigest("\n".join(sorted(re.sub("[0-9]+", "0", p) for p in outer))) - 2**63
+    outer = {p for p in {p for p, said, _ in found if said is None} if p.count("/") <= OUTER_DEPTH and _last(p) in OUTER
+             and not INSIDE.search(p.rpartition("/")[0] + "/")}
+    return xxhash.xxh64_intdigest("\n".join(sorted(DIGITS.sub("0", p) for p in outer))) - 2**63
 
 
-def _tokens(page: str | None) -> list[tuple[str, int, int, int]]:
-    """(token, occurrences, characters below or in it that no element below it marks, characters in no marked element)
-    of one page; the token ! with the page's hash tells different pages."""
-    tags, blocks = read(page or "")
+def _tokens(found: list) -> list[dict]:
+    """The tokens of a page: occurrences n, chars below or in it that no element below it marks, free: those in no
+    marked element, first and last place.  Texts inside articles are never the template's and are no tokens."""
+    tokens: dict[str, list[int]] = {}
     below: Counter = Counter()
     free: Counter = Counter()
-    literals: Counter = Counter()
-    for path, said, mark in blocks:
-        token = _literal(path, said)
-        literals[token] += 1
-        free[token] += 0 if mark else len(said)
-        below[token] += len(said)
-        while path and len(path) >= len(mark):
-            below[path] += len(said)
-            path = path.rpartition("/")[0]
-    return [("!" + xxhash.xxh64_hexdigest(page or ""), 1, 0, 0), *((t, n, below[t], free[t]) for t, n in (tags + literals).items())]
+    for at, (path, said, mark) in enumerate(found):
+        token = path if said is None else _literal(path, said)
+        if said is None or not INSIDE.search(path + "/"):
+            seen = tokens.setdefault(token, [0, at, at])
+            seen[0], seen[2] = seen[0] + 1, at
+        if said is not None:
+            free[""] += 0 if mark else len(said)
+            below[token] += len(said)
+            while path and len(path) >= len(mark):
+                below[path] += len(said)
+                path = path.rpartition("/")[0]
+    return [{"token": "", "n": 1, "chars": 0, "free": free[""], "first": -1, "last": len(found)},
+            *({"token": t, "n": n, "chars": below[t], "free": 0, "first": i, "last": j} for t, (n, i, j) in tokens.items())]
+
+
+def placed(tokens: list) -> list[dict]:
+    """Where the candidates (token, vector, first, last) of one page stand: rank in their class (-1 if not the
+    same by first and by last places), and a hash of the class around theirs and its gap (null: they interleave)."""
+    classes: dict = {}
+    for t in tokens:
+        classes.setdefault(t["vector"], []).append(t)
+    spans, rank = [], {}
+    for v, members in classes.items():
+        members.sort(key=lambda t: t["first"])
+        last = sorted(members, key=lambda t: t["last"])
+        rank |= {t["token"]: i if t["token"] == last[i]["token"] else -1 for i, t in enumerate(members)}
+        spans.append((members[0]["first"], -last[-1]["last"], v))
+    spans.sort(key=lambda x: x[:2])
+    around, open_ = {}, []
+    for lo, hi, v in spans:
+        while open_ and -open_[-1][1] < lo:
+            open_.pop()
+        if not open_:
+            around[v] = 0
+        elif -open_[-1][1] < -hi:
+            around[v] = None
+            continue
+        else:
+            parent = open_[-1][2]
+            gap = sum(t["first"] < lo for t in classes[parent])
+            around[v] = xxhash.xxh64_intdigest(f"{parent} {gap}") - 2**63
+        open_.append((lo, hi, v))
+    return [{"token": t, "rank": r, "around": around[v]} for v, members in classes.items()
+            for t, r in ((x["token"], rank[x["token"]]) for x in members)]
 
 
 def host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"//([^/:?#]+)", 1)), F.lit(""))
 
 
-def _slots(vectors: DataFrame, by: list[str]) -> DataFrame:
-    """(*by, slot, same) from the vectors (*by, token, support, n, chars, free, vector) of each group of pages that
-    has at least SAME_PAGES different ones."""
-    literal, page = F.col("token").contains("#"), F.col("token").startswith("!")
-    vectors = vectors.withColumn("literal", literal)
-    size = (vectors.groupBy(*by).agg(F.sum(F.when(page, F.col("support"))).alias("pages"), F.sum("free").alias("free_all"),
-                                     F.count_if(page).alias("different"))
-            .where(f"different >= {SAME_PAGES}"))
-    vectors = vectors.where(~page)
-    classes = (vectors.groupBy(*by, "vector", "support", "n").agg(F.count("*").alias("tokens"))
-               .join(size, by).where(f"tokens >= {CLASS_TOKENS} AND support >= {SUPPORT} * pages")
-               .select(*by, "vector", "pages", "free_all"))
-    fixed = vectors.join(classes, [*by, "vector"])
+def _template(seen: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(*by, pages, free_all) of the groups of at least SAME_PAGES pages, their tokens' vectors, and the template: the
+    tokens of valid classes."""
+    vectors = stage(seen.groupBy(*by, "token").agg(
+        F.count("*").alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("free").alias("free"),
+        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).cast("decimal(38,0)").alias("vector")))
+    size = vectors.where(f"token = '' AND support >= {SAME_PAGES}").select(*by, F.col("support").alias("pages"),
+                                                                          F.col("free").alias("free_all"))
+    vectors = vectors.where("token <> ''").drop("free").withColumn("literal", F.col("token").contains("#"))
+    of_class = [*by, "vector", "support", "n"]
+    classes = (vectors.groupBy(*of_class).agg(F.count("*").alias("tokens")).join(size, by)
+               .where(f"tokens >= {CLASS_TOKENS} AND support >= {SUPPORT} * pages").select(*of_class))
+    candidates = stage(vectors.join(classes, of_class))
+
+    @pandas_udf("array<struct<token:string,rank:int,around:long>>")
+    def places(parts: pd.Series) -> pd.Series:
+        return pd.Series([placed([dict(t) for t in tokens]) for tokens in parts])
+
+    page = (seen.select(*by, "page", "token", "first", "last")
+            .join(bounded(candidates.select(*by, "token", F.col("vector").cast("string").alias("vector"))), [*by, "token"])
+            .groupBy(*by, "page").agg(F.collect_list(F.struct("token", "vector", "first", "last")).alias("tokens")))
+    valid = (page.select(*by, F.explode(places("tokens")).alias("t")).select(*by, "t.*").groupBy(*by, "token")
+             .agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"), F.count("*").alias("k"), F.count("around").alias("ka"),
+                  F.min("around").alias("a"), F.max("around").alias("b"))
+             .where("lo >= 0 AND lo = hi AND k = ka AND a = b").select(*by, "token"))
+    kept = candidates.join(valid, [*by, "token"])
+    still = kept.groupBy(*of_class).agg(F.count("*").alias("tokens")).where(f"tokens >= {CLASS_TOKENS}").select(*of_class)
+    return size, vectors, kept.join(still, of_class)
+
+
+def _slots(seen: DataFrame, by: list[str]) -> DataFrame:
+    """(*by, slot, same, rotating) from the tokens of each group's pages: the path of the slot with the article, literal
+    texts of the template, and the paths of slots whose texts rotate."""
+    size, vectors, fixed = _template(seen, by)
+    fixed = stage(fixed)
     last = F.regexp_extract("token", r"/([^/.]+)[^/]*$", 1)
     named = last.isin("article", "main") | F.col("token").rlike(r"role=(main|article)[^/]*$")
     depth = F.length(F.regexp_replace("token", "[^/]", ""))
-    marked = F.udf(_marked, "boolean")("token")
+
+    @pandas_udf("boolean")
+    def marked(paths: pd.Series) -> pd.Series:
+        return paths.map(_marked)
     # a slot is a tag that each page has once: an article or main element (an article before a main, the outer of
     # nested ones), else the deepest that holds nearly all text of the group
-    tags = (fixed.where("NOT literal AND n = support AND chars > 0")
-            .withColumn("named", named).withColumn("marked", marked)
+    tags = (fixed.where("NOT literal AND n = support AND chars > 0").join(size, by)
+            .withColumn("named", named).withColumn("marked", marked("token"))
             .where(f"NOT marked OR chars > {MARKED_SLOT} * free_all"))
     most = tags.groupBy(*by).agg(F.max("chars").alias("total"))
     slots = (tags.join(most, by).where(F.col("named") | (F.col("chars") >= FULL * F.col("total")))
              .withColumn("rank", F.struct("named", (last == "article").alias("article"),
                                           F.when(F.col("named"), -depth).otherwise(depth).alias("depth"), "chars", "token"))
              .groupBy(*by).agg(F.max_by("token", "rank").alias("slot")))
-    inside = F.col("token").rlike(r"/(article|main)[./#]|role=(main|article)")
-    same = (fixed.where(f"literal AND support >= {FULL} * pages").where(~inside)
+    same = (fixed.where("literal").join(size, by).where(f"support >= {FULL} * pages")
             .groupBy(*by).agg(F.collect_list("token").alias("same")))
-    return size.select(*by).join(slots, by, "left").join(same, by, "left")
-
-
-def templates(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
-    """(host, structure, slot, same) and, over all pages of a host, (host, slot, same): the path of the slot that holds
-    the article, and the literal texts of the template outside article and main elements (the template's size
-    bounds them); null if there is none."""
-    @pandas_udf("structure long, tokens array<struct<token:string,n:long,chars:long,free:long>>")
-    def tokens(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    turns = (vectors.where("literal").groupBy(*by, F.substring_index("token", "#", 1).alias("path"))
+             .agg(F.count("*").alias("texts"), F.sum("n").alias("n")).where(f"n >= {ROTATING} AND n >= {TURNS} * texts"))
+    rotating = (turns.join(fixed.where("NOT literal").select(*by, F.col("token").alias("path")), [*by, "path"], "left_semi")
+                .groupBy(*by).agg(F.collect_list("path").alias("rotating")))
+    return stage(size.select(*by).join(slots, by, "left").join(same, by, "left").join(rotating, by, "left"))
+
+
+def bounded(table: DataFrame, *columns) -> DataFrame:
+    """The columns (none: all) of a staged table, marked for broadcast only if its counted rows and the elements of its arrays are within BROADCAST_ROWS."""
+    n = F.count("*")
+    for field in table.schema:
+        if field.dataType.typeName() == "array":
+            n = n + F.coalesce(F.sum(F.greatest(F.size(F.col(field.name)), F.lit(0))), F.lit(0))
+    rows = table.select(*columns) if columns else table
+    return F.broadcast(rows) if table.agg(n).first()[0] <= BROADCAST_ROWS else rows
+
+
+def _parsed(pages: DataFrame, url_col: str, html_col: str, what: str, ddl: str, make):
+    """pages with host and ``structure`` and ``what`` (made from what read() gives) of their html; one parse each."""
+    @pandas_udf(f"structure long, {what} {ddl}")
+    def parse(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:
-            yield pd.DataFrame({"structure": [_structure(p) for p in s], "tokens": [
-                [{"token": t, "n": n, "chars": c, "free": f} for t, n, c, f in _tokens(p)] for p in s]})
+            found = [read(p or "") for p in s]
+            yield pd.DataFrame({"structure": pd.Series(map(_structure, found), dtype="int64"),
+                                what: pd.Series(list(map(make, found)), dtype=object)})
+    return pages.withColumn("host", host(F.col(url_col))).withColumn("p", parse(F.col(html_col)))
 
-    seen = (pages.select(host(F.col(url_col)).alias("host"), F.xxhash64(F.col(id_col), F.col(html_col)).alias("page"),
-                         tokens(F.col(html_col)).alias("p"))
-            .select("host", "page", "p.structure", F.explode("p.tokens").alias("t")).select("host", "page", "structure", "t.*"))
-    vectors = stage(seen.groupBy("host", "structure", "token").agg(
-        F.count("*").alias("support"), F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.sum("free").alias("free"),
-        F.sum(F.xxhash64("page", "n").cast("decimal(20,0)")).alias("vector")))
-    whole = vectors.groupBy("host", "token").agg(
-        *[F.sum(c).alias(c) for c in ("support", "n", "chars", "free")], F.sum("vector").cast("decimal(38,0)").alias("vector"))
-    return _slots(vectors, ["host", "structure"]), _slots(whole, ["host"])
+
+def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> tuple[DataFrame, DataFrame]:
+    """(host, structure, slot, same, rotating) and, over all pages of a host, (host, slot, same, rotating); see _slots.
+    The template's size bounds the lists; null if there is none."""
+    ddl = "array<struct<token:string,n:long,chars:long,free:long,first:int,last:int>>"
+    rows = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    tokens = (_parsed(rows, "url", "html", "tokens", ddl, _tokens)
+              .select("host", F.xxhash64("html").alias("page"), "p.structure", "p.tokens"))
+    seen = stage(tokens.dropDuplicates(["host", "page"]))
+    seen = seen.select("host", "structure", "page", F.explode("tokens").alias("t")).select("host", "structure", "page", "t.*")
+    return _slots(seen, ["host", "structure"]), _slots(seen, ["host"])
 
 
 def _marked(path: str) -> bool:
@@ -292,13 +389,13 @@ def _marked(path: str) -> bool:
     return any(MARKED.search(v) or HEADER.search(v) for n in names for v in re.findall(r"\.(?:class|id|role)=(.*?)(?=\.(?:class|id|role)=|$)", n))
 
 
-def main_text(page: str | None, slot: str | None, same=()) -> str:
-    """Blocks in the slot that no element below it marks as something else (if all are, those too), joined by line feeds.
-    Without the slot: those in article elements, else in main elements, else all of the page.  Literal texts
-    ``same`` of the template are no content."""
-    _, blocks = read(page or "")
-    same = set(same if same is not None else ())
-    mine = [(p, s, m) for p, s, m in blocks if not (same and _literal(p, s) in same)]
+def main_text(blocks, slot: str | None, same=(), rotating=()) -> str:
+    """Those of a page's blocks (path, text, mark) in the slot that no element below it marks as something else (if all
+    are, those too), joined by line feeds.  Without the slot: those in article elements, else in main elements, else all
+    of the page.  Literal texts ``same`` and, outside articles, blocks of ``rotating`` paths are no content."""
+    same, rotating = set(same if same is not None else ()), set(rotating if rotating is not None else ())
+    mine = [(p, s, m) for p, s, m in blocks if INSIDE.search(p + "/") or not (
+        rotating and p in rotating or same and _literal(p, s) in same)]
 
     def under(top: str, path: str) -> bool:
         return path.startswith(top) and path[len(top):][:1] in ("", "/")
@@ -322,29 +419,30 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """One row per input row: id, url, text.
 
     Null and empty html gives an empty text.  Pages with null urls, or urls without a host, are one host.
-    Repeated rows each get their row; they weigh on their host's template like other pages.  Null ids
+    Repeated rows each get their row.  Null ids
     are ids; an empty table gives no rows; further columns are ignored.
     """
+    groups, hosts = templates(pages, url_col, html_col)
+    told = F.struct("slot", "same", "rotating")
+    groups = bounded(groups, F.col("host").alias("h"), F.col("structure").alias("g"), told.alias("mine"))
+    hosts = bounded(hosts, F.col("host").alias("hh"), told.alias("whole"))
+
     @pandas_udf("string")
     def text(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
-        for columns in parts:
-            yield pd.Series([main_text(*x) for x in zip(*columns)], dtype=object)
+        for blocks, slot, same, rotating in parts:
+            yield pd.Series([main_text([(b["path"], b["said"], b["mark"]) for b in bs], s if isinstance(s, str) else None, a, r)
+                             for bs, s, a, r in zip(blocks, slot, same, rotating)], dtype=object)
 
-    @pandas_udf("long")
-    def structure(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in parts:
-            yield pd.Series([_structure(p) for p in s], dtype="int64")
-
-    groups, hosts = templates(pages, id_col, url_col, html_col)
-    groups = groups.selectExpr("host AS h", "structure AS g", "slot AS group_slot", "same AS group_same")
-    hosts = hosts.selectExpr("host AS hh", "slot AS host_slot", "same AS host_same")
-    alone = F.col("h").isNull()
-    return (pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-                         host(F.col(url_col)).alias("host"), structure(F.col(html_col)).alias("structure"))
+    def blocks(found):
+        return [{"path": p, "said": s, "mark": m} for p, s, m in found if s is not None]
+
+    rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
+    return (_parsed(rows, "url", "html", "blocks", "array<struct<path:string,said:string,mark:string>>", blocks)
+            .select("id", "url", "host", "p.structure", "p.blocks")
             .join(groups, (F.col("host") == F.col("h")) & (F.col("structure") == F.col("g")), "left")
             .join(hosts, F.col("host") == F.col("hh"), "left")
-            .select("id", "url", text("html", F.when(alone, F.col("host_slot")).otherwise(F.col("group_slot")),
-                                      F.when(alone, F.col("host_same")).otherwise(F.col("group_same"))).alias("text")))
+            .withColumn("t", F.coalesce("mine", "whole"))
+            .select("id", "url", text("blocks", "t.slot", "t.same", "t.rotating").alias("text")))
 
 
 def op9(pages: DataFrame) -> DataFrame:
