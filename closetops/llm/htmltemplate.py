@@ -44,6 +44,8 @@ FULL, SAME_PAGES = 0.9, 2
 ROTATING, TURNS = 6, 2
 #: Elements nested deeper than this, or below a longer path, take the path of the one around them.
 DEPTH, PATH = 100, 4000
+#: Start tags and paths that a worker keeps the reading of, and the longest tag it keeps.
+KNOWN, SHORT = 8192, 500
 #: A slot inside an element with a marked class must hold more text than this many times what is in no such element.
 MARKED_SLOT = 2
 #: Elements whose paths, to this depth and outside articles, tell the groups of pages.
@@ -53,6 +55,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>
 TAG, STOP = re.compile(r"</?[A-Za-z]"), re.compile(r"[>\"']")
 INSIDE, HEADING, DIGITS = re.compile(r"/(?:(?:article|main)\b|[^/]*role=(?:main|article))"), re.compile(r"h[1-6]$"), re.compile("[0-9]+")
 #: Numbers that stand alone, and a letter: texts that differ in such numbers only are one literal.
+HIDDEN, ARTICLE = re.compile(r"\s(?:hidden|aria-hidden\s*=\s*.?true)(?:[\s=/>]|$)"), re.compile(r"(?:article|main)\b")
 NUMBER, LETTER = re.compile(r"\b[0-9]+\b"), re.compile(r"[^\W\d_]")
 NAME = re.compile(r"</?([A-Za-z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""(?<![A-Za-z-])([A-Za-z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
@@ -83,12 +86,13 @@ BARRIER = {"html", "body", "article", "main", "section", "div", "table", "ul", "
 
 class Node:
     """An open element: its tag, path of names with marks, whether its tag or that of one around it says that its content
-    is something other than the article, and the path of the innermost one whose class, id or role does ("" if none)."""
+    is something other than the article, the path of the innermost one whose class, id or role does ("" if none), how
+    many are around it, and whether it or one of them is an article or main element."""
 
-    __slots__ = ("tag", "path", "other", "mark", "depth")
+    __slots__ = ("tag", "path", "other", "mark", "depth", "inside")
 
-    def __init__(self, tag: str, path: str, other: bool, mark: str, depth: int = 0):
-        self.tag, self.path, self.other, self.mark, self.depth = tag, path, other, mark, depth
+    def __init__(self, tag: str, path: str, other: bool, mark: str, depth: int = 0, inside: bool = False):
+        self.tag, self.path, self.other, self.mark, self.depth, self.inside = tag, path, other, mark, depth, inside
 
 
 def _tag_ends(page: str):
@@ -122,17 +126,39 @@ def _tag_ends(page: str):
     return end
 
 
-def _node(parent: Node, tag: str, source: str) -> Node:
+def _marks(tag: str, source: str) -> tuple[str, bool, bool, bool]:
+    """Of a start tag: its name with marks, whether they say that it is something else, whether they say header, whether it is hidden."""
     marks = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(source) if k.lower() in MARKS}
     name = ".".join([tag, *sorted(f"{k}={v}".replace("/", "|").replace("#", "|") for k, v in marks.items())])
-    outside = not re.search(r"/(article|main)\b", parent.path)
-    said = any(MARKED.search(v) for v in marks.values()) or outside and any(map(HEADER.search, marks.values()))
-    hidden = re.search(r"\s(?:hidden|aria-hidden\s*=\s*.?true)(?:[\s=/>]|$)", source) is not None
-    body = tag in ("html", "body", "article", "main")  # a marked body is still the page
+    return name, any(map(MARKED.search, marks.values())), any(map(HEADER.search, marks.values())), HIDDEN.search(source) is not None
+
+
+class Kept(dict):
+    """What a function gives for the arguments asked for last, at most KNOWN of them (pages of a host repeat their tags
+    and paths).  Unlike functools' caches it travels with the job."""
+
+    def __init__(self, f):
+        self.f = f
+
+    def __missing__(self, key: tuple):
+        if len(self) >= KNOWN:
+            self.clear()
+        self[key] = value = self.f(*key)
+        return value
+
+
+_known = Kept(_marks)
+
+
+def _node(parent: Node, tag: str, source: str) -> Node:
+    name, said, header, hidden = _known[tag, source] if len(source) <= SHORT else _marks(tag, source)
+    outside = not parent.inside
+    said = said or outside and header
     deep = parent.depth >= DEPTH or len(parent.path) + len(name) >= PATH
     path = parent.path if deep else f"{parent.path}/{name}"
+    body = tag in ("html", "body", "article", "main")  # a marked body is still the page
     return Node(tag, path, parent.other or tag in OTHER or ((tag == "header" and outside or hidden) and not body),
-                path if said and not body else parent.mark, parent.depth + 1)
+                path if said and not body else parent.mark, parent.depth + 1, parent.inside or ARTICLE.match(tag) is not None)
 
 
 def read(page: str) -> list[tuple[str, str | None, str]]:
@@ -158,7 +184,7 @@ def read(page: str) -> list[tuple[str, str | None, str]]:
                 flush()
             if not text:
                 block_of[0] = top
-            text.append(html.unescape(raw))
+            text.append(html.unescape(raw) if "&" in raw else raw)
 
     def close(tags_, barrier):
         if not any(n_open[t] for t in tags_):
@@ -166,7 +192,8 @@ def read(page: str) -> list[tuple[str, str | None, str]]:
         for i in range(len(open_) - 1, 0, -1):
             if open_[i].tag in tags_:
                 flush()
-                n_open.subtract(x.tag for x in open_[i:])
+                for x in open_[i:]:
+                    n_open[x.tag] -= 1
                 del open_[i:]
                 return
             if open_[i].tag in barrier:
@@ -180,7 +207,8 @@ def read(page: str) -> list[tuple[str, str | None, str]]:
             break
         at = m.end()
         if TAG.match(m[0]):
-            at = tag_end(m.start() + 2) or at
+            if "'" in m[0] or m[0][-1] != ">" or m[0].count('"') % 2:  # else its quotes pair before its end
+                at = tag_end(m.start() + 2) or at
         source = page[m.start():at]
         if source[1] in "!?":
             if source.startswith("<![CDATA["):
@@ -200,7 +228,8 @@ def read(page: str) -> list[tuple[str, str | None, str]]:
             flush()
             if tag in CLOSES:
                 close(CLOSES[tag], {"ul", "ol", "dl", "table", "select", "article", "body"})
-            close({"p"}, BARRIER)
+            if n_open["p"]:
+                close({"p"}, BARRIER)
         node = _node(open_[-1], tag, source)
         if tag not in INLINE:
             found.append((node.path, None, ""))
@@ -221,16 +250,31 @@ def _last(path: str) -> str:
     return re.split(r"[.#]", path.rpartition("/")[2])[0]
 
 
+def _inside(path: str) -> bool:
+    return INSIDE.search(path + "/") is not None
+
+
+_is_inside = Kept(_inside)
+
+
 def _literal(path: str, text: str) -> str:
     alike = not HEADING.match(_last(path)) and LETTER.search(text)
     return f"{path}#{xxhash.xxh64_hexdigest(NUMBER.sub('0', text) if alike else text)}"
 
 
+def _outer(path: str) -> str:
+    """The path with digits alike if it is an outer element's, else ""."""
+    outer = path.count("/") <= OUTER_DEPTH and _last(path) in OUTER and not INSIDE.search(path.rpartition("/")[0] + "/")
+    return DIGITS.sub("0", path) if outer else ""
+
+
+_outers = Kept(_outer)
+
+
 def _structure(found: list) -> int:
     """A hash of the set of paths of a page's outer elements; digits count alike."""
-    outer = {p for p in {p for p, said, _ in found if said is None} if p.count("/") <= OUTER_DEPTH and _last(p) in OUTER
-             and not INSIDE.search(p.rpartition("/")[0] + "/")}
-    return xxhash.xxh64_intdigest("\n".join(sorted(DIGITS.sub("0", p) for p in outer))) - 2**63
+    outer = {_outers[p,] for p in {p for p, said, _ in found if said is None}} - {""}
+    return xxhash.xxh64_intdigest("\n".join(sorted(outer))) - 2**63
 
 
 def _tokens(found: list) -> list[dict]:
@@ -240,8 +284,9 @@ def _tokens(found: list) -> list[dict]:
     below: Counter = Counter()
     free: Counter = Counter()
     for at, (path, said, mark) in enumerate(found):
-        token = path if said is None else _literal(path, said)
-        if said is None or not INSIDE.search(path + "/"):
+        own = said is None or not _is_inside[path,]
+        token = path if said is None else _literal(path, said) if own else ""
+        if own:
             seen = tokens.setdefault(token, [0, at, at])
             seen[0], seen[2] = seen[0] + 1, at
         if said is not None:
@@ -394,7 +439,7 @@ def main_text(blocks, slot: str | None, same=(), rotating=()) -> str:
     are, those too), joined by line feeds.  Without the slot: those in article elements, else in main elements, else all
     of the page.  Literal texts ``same`` and, outside articles, blocks of ``rotating`` paths are no content."""
     same, rotating = set(same if same is not None else ()), set(rotating if rotating is not None else ())
-    mine = [(p, s, m) for p, s, m in blocks if INSIDE.search(p + "/") or not (
+    mine = [(p, s, m) for p, s, m in blocks if _is_inside[p,] or not (
         rotating and p in rotating or same and _literal(p, s) in same)]
 
     def under(top: str, path: str) -> bool:
