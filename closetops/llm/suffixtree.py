@@ -14,10 +14,16 @@ counts, all others share the rest, count(s) + 1 less those counts, as the
 shorter context deals them.  The root is the add-one unigram distribution.  A
 token is scored in the longest suffix of what precedes it that is a state.
 
-Counting.  Level after level the texts are read again; a task counts the
+Reading.  The texts are cut into tokens once and staged as codes, one row for
+about GATHERED tokens of whole texts, with the hashes of the words used there.
+
+Counting.  Level after level the codes are read twice; a task counts the
 (k+1)-grams both of whose k-grams were frequent (a bitmap of fixed size that may
-say yes too often; the counts after the shuffle are exact) and hands on its
-sums.  Tokens and n-grams are named by 64-bit hashes.
+say yes too often).  Most of them are rare, so the first time only 40 bits of
+their names are counted, sent as sorted blocks of a range of names each, the
+ranges as many as the tokens ask for.  The second time those that may be
+frequent by that are counted by their whole names; these counts are exact.
+Tokens and n-grams are named by 64-bit hashes.
 
 Scoring.  Written along the chain of suffixes, ln P is a sum: the unigram term,
 ln(rest(s) / (count(s) + 1)) for each state met, and for each counted pair of
@@ -47,10 +53,12 @@ from ..operators import stage
 DEPTH, LEAST, WORTH = 3, 16, 10.0
 #: An n-gram is broadcast if it makes up at least one in so many tokens.
 HEAVY = 2_000_000
-#: Tokens that a task gathers before it counts them.
-GATHERED = 2_000_000
+#: Tokens that a task gathers before it hands them on (a longer text is one row all the same).
+GATHERED = 1_000_000
 #: Distinct words whose hashes a task keeps from one gathering to the next.
-KEPT = 1_000_000
+KEPT = 250_000
+#: Tokens to a range of names, whose blocks one task merges.
+RANGE = 2_000_000
 #: Bits of the bitmaps.
 SLOTS = 1 << 26
 
@@ -79,35 +87,76 @@ class _Words(dict):
         return code
 
 
-def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list]]:
-    """(hashes by code, codes of the tokens, place of each token in its text, columns besides the
-    text) of the texts, many at a time.  Code 0 is the end of a text."""
-    words, held, rest, n = _Words(), [], [], 0
+_CODES = "names binary, codes binary, lengths binary, ids array<string>, held array<boolean>"
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers compressed byte by byte: the upper bytes are mostly zero."""
+    return pa.compress(np.ascontiguousarray(values.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: pa.Scalar, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed.as_buffer(), 8 * n, "zstd"), np.uint8).reshape(8, n)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _CODES from (text, id, held_out): the hashes by code, the codes of the tokens, the tokens of
+    each text.  Code 0 is the end of a text."""
+    words, texts, ids, held, n = _Words(), [], [], [], 0
 
     def whole():
-        length = np.array([len(x) for x in held])
-        at = np.arange(n) - np.repeat(np.cumsum(length) - length, length)
-        return np.array(words.names, np.uint64), np.concatenate(held), at, rest
+        code = np.concatenate(texts)
+        used = np.bincount(code, minlength=len(words.names)) > 0
+        return pa.RecordBatch.from_arrays([
+            pa.array([np.array(words.names, np.uint64)[used].tobytes()], pa.binary()),
+            pa.array([_packed((np.cumsum(used) - 1)[code])], pa.binary()),
+            pa.array([np.array([len(x) for x in texts], np.int32).tobytes()], pa.binary()),
+            pa.array([ids], pa.list_(pa.string())), pa.array([held], pa.list_(pa.bool_()))],
+            ["names", "codes", "lengths", "ids", "held"])
 
     for batch in batches:
-        texts = batch.column(0).cast(pa.binary()).to_pylist()
-        others = [c.to_pylist() for c in batch.columns[1:]]
-        for text, *other in zip(texts, *others):
-            found = (text or b"").translate(_LOWER).split()
+        for at in range(batch.num_rows):
+            text, i, h = batch.column(0)[at], batch.column(1)[at].as_py(), batch.column(2)[at].as_py()
+            found = (text.as_buffer().to_pybytes() if text.is_valid else b"").translate(_LOWER).split()
             code = np.zeros(len(found) + 1, np.int64)
             code[:-1] = np.fromiter(map(words.__getitem__, found), np.int64, len(found))
-            held.append(code)
-            rest.append(other)
+            texts.append(code)
+            ids.append(i)
+            held.append(h)
             n += len(code)
             if n >= GATHERED:
                 yield whole()
-                held, rest, n = [], [], 0
+                texts, ids, held, n = [], [], [], 0
                 if len(words) >= KEPT:
                     words = _Words()
-    if held:
+    if texts:
         yield whole()
 
 
+def _read(batches: Iterator[pa.RecordBatch], learn: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list, list]]:
+    """(hashes by code, codes of the tokens, place of each token in its text, ids, held out) of each row of
+    _CODES; only of the texts that aren't held out, without ids, if they are to learn from."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            names = np.frombuffer(batch.column("names")[i].as_buffer(), np.uint64)
+            length = np.frombuffer(batch.column("lengths")[i].as_buffer(), np.int32).astype(np.int64)
+            code = _unpacked(batch.column("codes")[i], int(length.sum()))
+            ids, held = ([], batch.column("held")[i].as_py()) if learn else (batch.column(c)[i].as_py() for c in ("ids", "held"))
+            if learn and any(held):
+                kept = ~np.array(held)
+                code, length = code[np.repeat(kept, length)], length[kept]
+            yield names, code, np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length), ids, held
+
+
+def tokenised(docs: DataFrame, text_col: str = "text", id_col: str | None = None, held_out: Column | None = None) -> DataFrame:
+    """The texts as rows of _CODES, staged."""
+    ident = F.lit(None) if id_col is None else F.col(id_col)
+    held = F.lit(False) if held_out is None else held_out
+    return stage(docs.select(F.col(text_col).alias("text"), ident.cast("string").alias("id"), held.alias("held_out"))
+                 .mapInArrow(_gathered, _CODES))
+
+
 def _tally(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The distinct values and their counts."""
     first = np.nonzero(np.concatenate(([True], sorted_keys[1:] != sorted_keys[:-1])))[0] if len(sorted_keys) else np.zeros(0, int)
@@ -130,18 +179,14 @@ def _bitmap(keys: DataFrame):
     return keys.sparkSession.sparkContext.broadcast(bitmap)
 
 
-def _texts(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
-    return docs.select(F.col(text_col).alias("text"), *more)
-
-
-def unigrams(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def unigrams(codes: DataFrame) -> DataFrame:
     """(key, n): the tokens of the texts and the end of each, counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, tokens, _, _ in _gathered(batches):
+        for names, tokens, *_ in _read(batches, learn=True):
             n = np.bincount(tokens, minlength=len(names))
             used = np.nonzero(n)[0]
             yield pa.RecordBatch.from_arrays([names[used].view(np.int64), n[used]], ["key", "n"])
-    return _texts(docs, text_col).mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    return codes.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 @pandas_udf(LongType())
@@ -149,27 +194,60 @@ def _named(pre: pd.Series, suf: pd.Series) -> pd.Series:
     return pd.Series(_mix(pre.to_numpy(np.int64).view(np.uint64), suf.to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
 
-def longer(docs: DataFrame, bitmaps: list, text_col: str = "text") -> DataFrame:
-    """(pre, suf, n): n-grams one token longer than those of the last bitmap, by the n-grams they
-    begin and end with, counted; only where both may be in that bitmap."""
+def _pairs(names: np.ndarray, code: np.ndarray, at: np.ndarray, bitmaps: list) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams one token longer than those of the last bitmap, by the names of the n-grams they begin and end
+    with; only where both may be in that bitmap."""
+    known = _in(bitmaps[0].value, names)[code]
+    place = np.nonzero(known[1:] & known[:-1] & (at[1:] > 0))[0]
+    pre, suf, ends = names[code[place]], names[code[place + 1]], place + 1
+    for k, bitmap in enumerate(bitmaps[1:], 2):
+        name = _mix(pre, suf)
+        known = _in(bitmap.value, name)
+        both = np.nonzero(known[1:] & known[:-1] & (ends[1:] == ends[:-1] + 1) & (at[ends[1:]] >= k))[0]
+        pre, suf, ends = name[both], name[both + 1], ends[both + 1]
+    return pre, suf
+
+
+def likely(codes: DataFrame, bitmaps: list, least: int, tokens: int) -> DataFrame:
+    """(key): the low 40 bits of the names of the longer n-grams that all n-grams with these bits make up ``least`` of."""
+    low, ranges = np.uint64((1 << 40) - 1), np.uint64(min(1 + tokens // RANGE, 1 << 24))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, code, at, *_ in _read(batches, learn=True):
+            key, n = _tally(np.sort(_mix(*_pairs(names, code, at, bitmaps)) & low))
+            part = ((key >> np.uint64(16)) * ranges) >> np.uint64(24)
+            spans = np.split(np.arange(len(key)), np.nonzero(part[1:] != part[:-1])[0] + 1) if len(key) else []
+            yield pa.RecordBatch.from_arrays([
+                pa.array([int(part[s[0]]) for s in spans], pa.int32()), pa.array([len(s) for s in spans], pa.int32()),
+                pa.array([_packed(np.diff(key[s].view(np.int64), prepend=0)) for s in spans], pa.binary()),
+                pa.array([_packed(n[s]) for s in spans], pa.binary())], ["part", "size", "keys", "counts"])
+
+    def merged(table: pa.Table) -> pa.Table:
+        keys, counts = [], []
+        for i, size in enumerate(table["size"].to_pylist()):
+            keys.append(np.cumsum(_unpacked(table["keys"][i], size)))
+            counts.append(_unpacked(table["counts"][i], size))
+        key, n = np.concatenate(keys), np.concatenate(counts)
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.nonzero(np.concatenate(([True], key[1:] != key[:-1])))[0]
+        return pa.table({"key": key[first][np.add.reduceat(n, first) >= least]})
+
+    return (codes.mapInArrow(blocks, "part int, size int, keys binary, counts binary")
+            .groupBy("part").applyInArrow(merged, "key long"))
+
+
+def longer(codes: DataFrame, bitmaps: list, asked) -> DataFrame:
+    """(pre, suf, n): the longer n-grams whose names may be in the bitmap ``asked``, counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for names, code, at, _ in _gathered(batches):
-            known = _in(bitmaps[0].value, names)[code]
-            place = np.nonzero(known[1:] & known[:-1] & (at[1:] > 0))[0]
-            for k, bitmap in enumerate(bitmaps[1:], 1):  # the n-grams of the next length both of whose parts are known
-                name = _mix(names[code[place]], names[code[place + 1]]) if k == 1 else _mix(name[before], name[before + 1])
-                ends = place + 1 if k == 1 else ends[before + 1]
-                known = _in(bitmap.value, name)
-                before = np.nonzero(known[1:] & known[:-1] & (ends[1:] == ends[:-1] + 1) & (at[ends[1:]] > k))[0]
-            if len(bitmaps) == 1:
-                pair, n = _tally(np.sort(code[place] << 32 | code[place + 1]))
-                pre, suf = names[pair >> 32], names[pair & 0xFFFFFFFF]
-            else:
-                _, first, n = np.unique(_mix(name[before], name[before + 1]), return_index=True, return_counts=True)
-                pre, suf = name[before][first], name[before + 1][first]
-            yield pa.RecordBatch.from_arrays([pre.view(np.int64), suf.view(np.int64), n], ["pre", "suf", "n"])
-    return _texts(docs, text_col).mapInArrow(count, "pre long, suf long, n long").groupBy("pre", "suf").agg(
-        F.sum("n").alias("n"))
+        for names, code, at, *_ in _read(batches, learn=True):
+            pre, suf = _pairs(names, code, at, bitmaps)
+            name = _mix(pre, suf)
+            use = np.nonzero(_in(asked.value, name))[0]
+            _, first, n = np.unique(name[use], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pre[use][first].view(np.int64), suf[use][first].view(np.int64), n],
+                                             ["pre", "suf", "n"])
+    return codes.mapInArrow(count, "pre long, suf long, n long").groupBy("pre", "suf").agg(F.sum("n").alias("n"))
 
 
 class Tree:
@@ -181,8 +259,11 @@ class Tree:
         self.weights, self.states, self.tokens, self.distinct, self.depth = weights, states, tokens, distinct, depth
 
 
-def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, least: int = LEAST, worth: float = WORTH) -> Tree:
-    words = stage(unigrams(docs, text_col))
+def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, least: int = LEAST, worth: float = WORTH,
+        codes: DataFrame | None = None) -> Tree:
+    """The tree of the texts; ``codes``: what :func:`tokenised` made of them and of texts held out, if it is there."""
+    codes = tokenised(docs, text_col) if codes is None else codes
+    words = stage(unigrams(codes))
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     room = F.lit(float(total + distinct + 1))
 
@@ -193,7 +274,8 @@ def fit(docs: DataFrame, text_col: str = "text", depth: int = DEPTH, least: int
     bitmaps = []
     for _ in range(depth):
         bitmaps.append(_bitmap(grams[-1].select("key")))
-        found = longer(docs, bitmaps, text_col).where(F.col("n") >= least)
+        asked = _bitmap(likely(codes, bitmaps, least, total))
+        found = longer(codes, bitmaps, asked).where(F.col("n") >= least)
         found = stage(found.select(_named("pre", "suf").alias("key"), "pre", "suf", "n"))
         pre = grams[-1].select(F.col("key").alias("pre"), F.col("n").alias("c"))
         suf = grams[-1].select(F.col("key").alias("suf"), F.col("p").alias("lower"))
@@ -243,8 +325,9 @@ _SCORED = ("id string, held_out boolean, n_tokens long, n_known long, logs doubl
 
 
 def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "text",
-          held_out: Column | None = None, heavy: int = HEAVY) -> DataFrame:
-    """One row per input row: id, held_out, n_tokens, n_known, base_score, score."""
+          held_out: Column | None = None, codes: DataFrame | None = None, heavy: int = HEAVY) -> DataFrame:
+    """One row per input row: id, held_out, n_tokens, n_known, base_score, score; ``codes`` as in :func:`fit`."""
+    codes = tokenised(docs, text_col, id_col, held_out) if codes is None else codes
     sc = docs.sparkSession.sparkContext
     is_heavy = F.col("n") * heavy >= max(tree.tokens, 1)
     top = tree.weights.where(is_heavy).select("key", "c", "w").toArrow()
@@ -262,8 +345,8 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
             spot = np.minimum(np.searchsorted(keys, names), max(len(keys) - 1, 0))
             return spot, keys[spot] == names if len(keys) else np.zeros(len(names), bool)
 
-        for names, code, at, rest in _gathered(batches):
-            n_docs = len(rest)
+        for names, code, at, ids, held in _read(batches, learn=False):
+            n_docs = len(ids)
             doc = np.cumsum(at == 0) - 1
             n_tokens = np.bincount(doc, minlength=n_docs)
             spot, hit = found(names)
@@ -290,7 +373,6 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
             first = np.nonzero(new)[0]
             times = np.diff(np.append(first, len(of))).astype(np.int32)
             cuts = np.searchsorted(of[first], np.arange(n_docs + 1)).astype(np.int32)
-            ids, held = zip(*rest)
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids, pa.string()), pa.array(held, pa.bool_()), pa.array(n_tokens),
                 pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
@@ -298,9 +380,7 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(times))],
                 ["id", "held_out", "n_tokens", "n_known", "logs", "w", "keys", "times"])
 
-    held = F.lit(False) if held_out is None else held_out
-    read = _texts(docs, text_col, F.col(id_col).cast("string").alias("id"), held.alias("held_out"))
-    rows = stage(read.mapInArrow(look, _SCORED).withColumn("row", F.monotonically_increasing_id()))
+    rows = stage(codes.mapInArrow(look, _SCORED).withColumn("row", F.monotonically_increasing_id()))
     asked = rows.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select(
         "row", F.col("x.keys").alias("key"), F.col("x.times").alias("times"))
     rare = tree.weights.where(~is_heavy).select("key", "c", "w")
@@ -324,7 +404,8 @@ def op11(docs: DataFrame, **how) -> DataFrame:
     columns besides doc_id and text are not read.
     """
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
-    tree = fit(docs.where(~held), **how)
-    got = score(docs, tree, held_out=held)
+    codes = tokenised(docs, "text", "doc_id", held)
+    tree = fit(docs, codes=codes, **how)
+    got = score(docs, tree, codes=codes)
     return got.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known",
                       F.lit(tree.tokens).cast("long").alias("train_tokens"), "base_score", "score")
