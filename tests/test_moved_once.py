@@ -87,3 +87,17 @@ def test_horizons_count_without_a_row_per_probe_and_edge(spark):
         return sum(k == u and lo <= t <= lo + dt.timedelta(days=h) for k, _, t in orders)
     want = [(u, d, n(u, d, 1), n(u, d, 30)) for u, d in [(1, day), (1, day + dt.timedelta(days=30)), (2, day)]]
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_order_groups_are_told_apart_before_their_joins(spark, no_broadcast, tmp_path):
+    from closetops.sources.bindings import Warehouse
+    at = dt.datetime(2024, 1, 1)
+    made = {"lineitem": ([(1, 1), (1, 3), (1, 2), (2, None), (2, None), (None, 1), (9, 1)], "l_orderkey bigint, l_linenumber int"),
+            "orders": ([(1, 5, at), (1, 6, at), (2, 5, at)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+            "customer": ([(5, 3), (5, 3), (6, None)], "c_custkey bigint, c_nationkey int")}
+    for name, (r, schema) in made.items():
+        spark.createDataFrame(r, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = Warehouse(spark, str(tmp_path)).order_groups
+    assert sorted((str(r.group_id), r.order_id, str(r.state)) for r in got.collect()) == [
+        ("2", 1, "3"), ("2", 1, "None"), ("3", 1, "3"), ("3", 1, "None"), ("None", 2, "3")]
+    assert plan(got).index("HashAggregate") < plan(got).index("Join") < plan(got).rindex("HashAggregate")
