@@ -25,3 +25,21 @@ def test_price_windows_are_merged(spark):
 
 def test_models_of_cart_events_are_merged(spark):
     assert joins(Warehouse(spark, SF_SMALL)._cart_events()) == (1, 0)
+
+
+def test_cart_reports_broadcast_no_orders_or_parts(spark):
+    from closetops import registry
+    wh = registry._cart_wh(spark, SF_SMALL)
+    assert joins(wh.reservation_booking_detail) == (3, 0)
+    assert joins(wh.order_group_reservation) == (3, 0)
+    for name in ("q_log_coverage", "q_device_switch"):
+        plan = registry.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+        assert [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "sku" in x] == []
+
+
+def test_stored_bindings_serve_the_cart_reports(spark, tmp_path, monkeypatch):
+    from closetops import registry
+    monkeypatch.setattr(registry, "_WAREHOUSES", {})
+    assert registry._cart_wh(spark, SF_SMALL) is not registry._wh(spark, SF_SMALL)
+    registry._wh(spark, SF_SMALL).materialize(["users"], str(tmp_path))
+    assert registry._cart_wh(spark, SF_SMALL) is registry._wh(spark, SF_SMALL)
