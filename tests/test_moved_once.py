@@ -101,3 +101,20 @@ def test_order_groups_are_told_apart_before_their_joins(spark, no_broadcast, tmp
     assert sorted((str(r.group_id), r.order_id, str(r.state)) for r in got.collect()) == [
         ("2", 1, "3"), ("2", 1, "None"), ("3", 1, "3"), ("3", 1, "None"), ("None", 2, "3")]
     assert plan(got).index("HashAggregate") < plan(got).index("Join") < plan(got).rindex("HashAggregate")
+
+
+def test_coverage_takes_no_join_and_only_orders_of_both_sides(spark, no_broadcast):
+    from closetops.plans.order_issues import profile_coverage
+    at = lambda d: dt.datetime(2024, 1, d)
+    af = spark.createDataFrame(
+        [(o, at(d) if d else None, "RFF", "reason", "BOOKING") for o, d in [(1, 5), (1, 3), (2, 9), (None, 1), (4, None), (5, 2)]]
+        + [(1, at(30), "SHIPPING", "reason", "BOOKING"), (1, at(1), "RFF", "other", "BOOKING")],
+        "order_id bigint, transaction_created timestamp_ntz, annotation_group string, detail_name string, annotation_target string")
+    po = spark.createDataFrame(
+        [(o, at(d) if d else None, kind, "RENTAL", "P1_2") for o, d, kind in [
+            (1, 6, "CLASSIC"), (1, 6, "CLASSIC"), (3, 20, "CLASSIC"), (None, 25, "CLASSIC"), (4, 10, "CLASSIC"), (2, 8, "QUEUE"), (5, None, "CLASSIC")]],
+        "order_id bigint, order_datetime_est timestamp_ntz, order_type string, merchandise_category string, sku string")
+    got = profile_coverage(af, po)
+    assert "Join" not in plan(got)
+    assert [tuple(r) for r in got.collect()] == [(at(5), at(2), at(10))]
+    assert [tuple(r) for r in profile_coverage(af.limit(0), po).collect()] == [(None, None, None)]
