@@ -118,3 +118,17 @@ def test_coverage_takes_no_join_and_only_orders_of_both_sides(spark, no_broadcas
     assert "Join" not in plan(got)
     assert [tuple(r) for r in got.collect()] == [(at(5), at(2), at(10))]
     assert [tuple(r) for r in profile_coverage(af.limit(0), po).collect()] == [(None, None, None)]
+
+
+def test_wide_bookings_move_for_the_barcode_not_for_unit_ids(spark, no_broadcast, monkeypatch):
+    import closetops.registry as registry
+    plans = []
+    keep = reservations.stage
+    monkeypatch.setattr(reservations, "stage", lambda df: plans.append(plan(df)) or keep(df))
+    registry.q_reservation_fact(spark, SF_SMALL)
+    joins = [x for p in plans for x in p.splitlines() if "SortMergeJoin [" in x]
+    of = lambda key: [i for i, x in enumerate(joins) if f"SortMergeJoin [{key}#" in x]
+    assert of("_iulid") and of("barcode")[0] < of("_iulid")[0]
+    # Bookings meet their add-ons last, when these have their product and unit.
+    extras = [x for x in plan(registry.q_reservation_extras(spark, SF_SMALL)).splitlines() if "SortMergeJoin [" in x]
+    assert "[reservation_booking_id#" in extras[0] and "[f_booking_id#" in extras[0]
