@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from closetops import registry
 from closetops.operators import keybits, stage
-from closetops.plans import reservations
+from closetops.plans import order_issues, reservations
 
 from conftest import SF_SMALL
-from test_moved_once import no_broadcast, plan  # noqa: F401
+from test_moved_once import no_broadcast, plan, rows  # noqa: F401
 
 
 @pytest.mark.parametrize("of", ["bigint", "string"])
@@ -46,3 +46,13 @@ def test_fact_leaves_other_bookings_out_and_is_made_distinct_where_it_is(spark,
     assert "_kb_block" in ordered and "_kb_block" in booked
     assert wide.count("_kb_block") >= 5  # details, log, pointers and both return dates
     assert plan(fact).count("Exchange hashpartitioning") == 2  # the rows and their counts, by group
+
+
+def test_replacements_leave_other_bookings_out(spark, no_broadcast):  # noqa: F811
+    wh = registry._wh(spark, SF_SMALL)
+    got = order_issues.replacements(wh.yp_autumn_full, wh.order_group_reservation)
+    assert "_kb_block" in plan(got)
+    a = wh.yp_autumn_full.filter("annotation_group = 'REPLACEMENT' AND detail_name = 'reason'")
+    g = wh.order_group_reservation
+    assert rows(got) == rows(a.join(g, a["annotation_target_id"] == g["reservation_booking_id"]).select(
+        a["order_id"], "group_id", "annotation_target_id", "detail_value").distinct())
