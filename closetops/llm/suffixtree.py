@@ -47,18 +47,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 
-from ..operators import stage
+from ..operators import stage, unstage
 
 #: Longest context in words, least count of a context with its next token, nats a stored count must be worth.
 DEPTH, LEAST, WORTH = 3, 16, 10.0
-#: An n-gram is broadcast if it makes up at least one in so many tokens.
-HEAVY = 2_000_000
+#: An n-gram is broadcast if it makes up at least one in so many tokens; 24 bytes a word, 16 a longer one.
+HEAVY = 8_000_000
 #: Tokens that a task gathers before it hands them on (a longer text is one row all the same).
 GATHERED = 1_000_000
 #: Distinct words whose hashes a task keeps from one gathering to the next.
 KEPT = 250_000
+#: Tokens of whole texts that a task works on at once (a longer text is one piece all the same).
+PIECE = 1 << 17
 #: Tokens to a range of names, whose blocks one task merges.
-RANGE = 2_000_000
+RANGE = 1_000_000
 #: Bits of the bitmaps.
 SLOTS = 1 << 26
 
@@ -194,18 +196,32 @@ def _named(pre: pd.Series, suf: pd.Series) -> pd.Series:
     return pd.Series(_mix(pre.to_numpy(np.int64).view(np.uint64), suf.to_numpy(np.int64).view(np.uint64)).view(np.int64))
 
 
-def _pairs(names: np.ndarray, code: np.ndarray, at: np.ndarray, bitmaps: list) -> tuple[np.ndarray, np.ndarray]:
+def _pieces(at: np.ndarray) -> Iterator[slice]:
+    """About PIECE tokens each, cut between texts: no n-gram goes over a cut.  ``at``: places in their texts."""
+    start = np.nonzero(at == 0)[0]
+    first = start[np.diff(start // PIECE, prepend=-1) > 0]
+    return map(slice, first.tolist(), [*first[1:].tolist(), len(at)])
+
+
+def _pairs(names: np.ndarray, code: np.ndarray, at: np.ndarray, bitmaps: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """The n-grams one token longer than those of the last bitmap, by the names of the n-grams they begin and end
-    with; only where both may be in that bitmap."""
-    known = _in(bitmaps[0].value, names)[code]
-    place = np.nonzero(known[1:] & known[:-1] & (at[1:] > 0))[0]
-    pre, suf, ends = names[code[place]], names[code[place + 1]], place + 1
-    for k, bitmap in enumerate(bitmaps[1:], 2):
-        name = _mix(pre, suf)
-        known = _in(bitmap.value, name)
-        both = np.nonzero(known[1:] & known[:-1] & (ends[1:] == ends[:-1] + 1) & (at[ends[1:]] >= k))[0]
-        pre, suf, ends = name[both], name[both + 1], ends[both + 1]
-    return pre, suf
+    with; only where both may be in that bitmap.  One piece of the texts after the other."""
+    word = _in(bitmaps[0].value, names)
+    for piece in _pieces(at):
+        token, to = code[piece], at[piece]
+        known = word[token]
+        place = np.nonzero(known[1:] & known[:-1] & (to[1:] > 0))[0]
+        pre, suf, ends = names[token[place]], names[token[place + 1]], place + 1
+        for k, bitmap in enumerate(bitmaps[1:], 2):
+            name = _mix(pre, suf)
+            known = _in(bitmap.value, name)
+            both = np.nonzero(known[1:] & known[:-1] & (ends[1:] == ends[:-1] + 1) & (to[ends[1:]] >= k))[0]
+            pre, suf, ends = name[both], name[both + 1], ends[both + 1]
+        yield pre, suf
+
+
+def _joined(parts: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.uint64), *parts])
 
 
 def likely(codes: DataFrame, bitmaps: list, least: int, tokens: int) -> DataFrame:
@@ -214,7 +230,9 @@ def likely(codes: DataFrame, bitmaps: list, least: int, tokens: int) -> DataFram
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, code, at, *_ in _read(batches, learn=True):
-            key, n = _tally(np.sort(_mix(*_pairs(names, code, at, bitmaps)) & low))
+            key = _joined([_mix(pre, suf) & low for pre, suf in _pairs(names, code, at, bitmaps)])
+            key.sort()
+            key, n = _tally(key)
             part = ((key >> np.uint64(16)) * ranges) >> np.uint64(24)
             spans = np.split(np.arange(len(key)), np.nonzero(part[1:] != part[:-1])[0] + 1) if len(key) else []
             yield pa.RecordBatch.from_arrays([
@@ -241,12 +259,14 @@ def longer(codes: DataFrame, bitmaps: list, asked) -> DataFrame:
     """(pre, suf, n): the longer n-grams whose names may be in the bitmap ``asked``, counted."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for names, code, at, *_ in _read(batches, learn=True):
-            pre, suf = _pairs(names, code, at, bitmaps)
-            name = _mix(pre, suf)
-            use = np.nonzero(_in(asked.value, name))[0]
-            _, first, n = np.unique(name[use], return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pre[use][first].view(np.int64), suf[use][first].view(np.int64), n],
-                                             ["pre", "suf", "n"])
+            begins, stops = [], []
+            for pre, suf in _pairs(names, code, at, bitmaps):
+                use = _in(asked.value, _mix(pre, suf))
+                begins.append(pre[use])
+                stops.append(suf[use])
+            pre, suf = _joined(begins), _joined(stops)
+            _, first, n = np.unique(_mix(pre, suf), return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pre[first].view(np.int64), suf[first].view(np.int64), n], ["pre", "suf", "n"])
     return codes.mapInArrow(count, "pre long, suf long, n long").groupBy("pre", "suf").agg(F.sum("n").alias("n"))
 
 
@@ -330,55 +350,66 @@ def score(docs: DataFrame, tree: Tree, id_col: str = "doc_id", text_col: str = "
     codes = tokenised(docs, text_col, id_col, held_out) if codes is None else codes
     sc = docs.sparkSession.sparkContext
     is_heavy = F.col("n") * heavy >= max(tree.tokens, 1)
-    top = tree.weights.where(is_heavy).select("key", "c", "w").toArrow()
-    key = top["key"].to_numpy().view(np.uint64)
-    order = np.argsort(key)
-    top = sc.broadcast((key[order], np.log10(top["c"].to_numpy()[order] + 1.0), top["c"].to_numpy()[order] > 0,
-                        top["w"].to_numpy()[order]))
+
+    def table(rows: DataFrame, *columns: str) -> list[np.ndarray]:
+        got = rows.where(is_heavy).select(*columns).toArrow()
+        key = got["key"].to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        return [key[order], *(got[c].to_numpy()[order] for c in columns[1:])]
+
+    words = table(tree.weights.where("c > 0"), "key", "c", "w")
+    words[1] = np.log10(words[1] + 1.0)
+    top = sc.broadcast((words, table(tree.weights.where("c = 0"), "key", "w")))
     longer_ones = _bitmap(tree.weights.where("c = 0").select("key"))
+    # other bits of those to be joined: else what the first bitmap lets pass wrongly moves, the more the larger the tree
+    joined = _bitmap(tree.weights.where("c = 0").where(~is_heavy).select(F.shiftrightunsigned("key", 32).alias("key")))
     depth = tree.depth
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, logs, known, w = top.value
-
-        def found(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            spot = np.minimum(np.searchsorted(keys, names), max(len(keys) - 1, 0))
-            return spot, keys[spot] == names if len(keys) else np.zeros(len(names), bool)
+    def found(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        spot = np.minimum(np.searchsorted(keys, names), max(len(keys) - 1, 0))
+        return spot, keys[spot] == names if len(keys) else np.zeros(len(names), bool)
 
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (words, logs, w), (grams, w_gram) = top.value
         for names, code, at, ids, held in _read(batches, learn=False):
-            n_docs = len(ids)
-            doc = np.cumsum(at == 0) - 1
-            n_tokens = np.bincount(doc, minlength=n_docs)
-            spot, hit = found(names)
-            sums = np.zeros((3, n_docs))
-            if hit.any():
-                for i, x in enumerate((known, logs, w)):
-                    sums[i] = np.bincount(doc, np.where(hit, x[spot], 0.0)[code], n_docs)
-            rare = ~hit[code]
-            light = [(doc[rare], names[code[rare]])]
-            key = names[code]
-            for k in range(1, depth + 1):  # the n-grams one token longer
-                key, doc, at = _mix(key[:-1], key[1:]), doc[1:], at[1:]
-                use = np.nonzero((at >= k) & _in(longer_ones.value, key))[0]
-                name, of = key[use], doc[use]
-                spot, hit = found(name)
-                if hit.any():
-                    sums[2] += np.bincount(of[hit], w[spot[hit]], n_docs)
-                light.append((of[~hit], name[~hit]))
-            of, name = (np.concatenate(x) for x in zip(*light))
-            by = np.lexsort((name, of))
-            of, name = of[by], name[by]
-            new = np.ones(len(of), bool)
-            new[1:] = (of[1:] != of[:-1]) | (name[1:] != name[:-1])
-            first = np.nonzero(new)[0]
-            times = np.diff(np.append(first, len(of))).astype(np.int32)
-            cuts = np.searchsorted(of[first], np.arange(n_docs + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.string()), pa.array(held, pa.bool_()), pa.array(n_tokens),
-                pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(name[first].view(np.int64))),
-                pa.ListArray.from_arrays(pa.array(cuts), pa.array(times))],
-                ["id", "held_out", "n_tokens", "n_known", "logs", "w", "keys", "times"])
+            spot, hit = found(words, names)
+            of_word = [np.where(hit, x[spot], 0.0) if len(words) else np.zeros(len(names)) for x in (logs, w)]
+            done = 0
+            for piece in _pieces(at):
+                token, to = code[piece], at[piece]
+                doc = np.cumsum(to == 0) - 1
+                n_docs = int(doc[-1]) + 1
+                n_tokens = np.bincount(doc, minlength=n_docs)
+                known = hit[token]
+                n_known = np.bincount(doc[known], minlength=n_docs)
+                base, more = (np.bincount(doc, x[token], n_docs) for x in of_word)
+                key = names[token]
+                light = [(doc[~known], key[~known])]
+                for k in range(1, depth + 1):  # the n-grams one token longer
+                    key, doc, to = _mix(key[:-1], key[1:]), doc[1:], to[1:]
+                    use = np.nonzero((to >= k) & _in(longer_ones.value, key))[0]
+                    name, of = key[use], doc[use]
+                    spot, there = found(grams, name)
+                    if there.any():
+                        more += np.bincount(of[there], w_gram[spot[there]], n_docs)
+                    rest = np.nonzero(~there)[0]
+                    rest = rest[_in(joined.value, name[rest] >> np.uint64(32))]
+                    light.append((of[rest], name[rest]))
+                of, name = (np.concatenate(x) for x in zip(*light))
+                by = np.lexsort((name, of))
+                of, name = of[by], name[by]
+                new = np.ones(len(of), bool)
+                new[1:] = (of[1:] != of[:-1]) | (name[1:] != name[:-1])
+                first = np.nonzero(new)[0]
+                times = np.diff(np.append(first, len(of))).astype(np.int32)
+                cuts = np.searchsorted(of[first], np.arange(n_docs + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(ids[done:done + n_docs], pa.string()), pa.array(held[done:done + n_docs], pa.bool_()),
+                    pa.array(n_tokens), pa.array(n_known), pa.array(base), pa.array(more),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(name[first].view(np.int64))),
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(times))],
+                    ["id", "held_out", "n_tokens", "n_known", "logs", "w", "keys", "times"])
+                done += n_docs
 
     rows = stage(codes.mapInArrow(look, _SCORED).withColumn("row", F.monotonically_increasing_id()))
     asked = rows.select("row", F.explode(F.arrays_zip("keys", "times")).alias("x")).select(
@@ -407,5 +438,6 @@ def op11(docs: DataFrame, **how) -> DataFrame:
     codes = tokenised(docs, "text", "doc_id", held)
     tree = fit(docs, codes=codes, **how)
     got = score(docs, tree, codes=codes)
+    unstage(codes)  # the scores only read what was found for each text
     return got.select(F.col("id").alias("doc_id"), "held_out", "n_tokens", "n_known",
                       F.lit(tree.tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -1,6 +1,7 @@
 """The suffix tree's scores against a plain model that looks for the longest state at every token."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -111,3 +112,31 @@ def test_no_texts(spark):
     held = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     r = suffixtree.op11(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).first()
     assert tuple(r) == (held, True, 3, 0, 0, 0.0, 0.0)
+
+
+def test_pieces_are_whole_texts(monkeypatch):
+    monkeypatch.setattr(suffixtree, "PIECE", 10)
+    lengths = [3, 4, 1, 25, 1, 1, 9, 2]
+    at = np.concatenate([np.arange(n) for n in lengths])
+    pieces = [at[x] for x in suffixtree._pieces(at)]
+    assert np.concatenate(pieces).tolist() == at.tolist() and all(x[0] == 0 for x in pieces)
+    assert len(pieces) == 3 and all(np.nonzero(x == 0)[0][-1] < 10 for x in pieces)
+    assert [*suffixtree._pieces(at[:0])] == []
+
+
+def test_scores_in_pieces_and_only_tables_still_read_stay(spark, monkeypatch):
+    monkeypatch.setattr(suffixtree, "PIECE", 16)
+    monkeypatch.setattr(suffixtree.score, "__defaults__", (*suffixtree.score.__defaults__[:-1], 30))
+    made = []
+    whole = suffixtree.tokenised
+    monkeypatch.setattr(suffixtree, "tokenised", lambda *a, **b: made.append(whole(*a, **b)) or made[-1])
+    rows = rows_of(3)
+    got = suffixtree.op11(spark.createDataFrame(rows, "doc_id long, text string, key string, n long"), depth=3, least=3, worth=2.0)
+    files = [f.removeprefix("file:").replace("///", "/") for f in made[0].inputFiles()]
+    assert len(made) == 1 and files and not any(os.path.exists(f) for f in files)
+    want, _ = brute(rows, 3, 3, 2.0)
+
+    def order(r):
+        return r[0] is not None, r[0], r[2], r[5]
+    for g, w in zip(sorted(map(tuple, got.collect()), key=order), sorted(want, key=order), strict=True):
+        assert g[:5] == w[:5] and g[5:] == pytest.approx(w[5:], abs=1e-6)
