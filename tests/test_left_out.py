@@ -6,7 +6,7 @@ import pytest
 
 from closetops import registry
 from closetops.operators import keybits, stage
-from closetops.plans import cart
+from closetops.plans import cart, order_issues, reservations
 from closetops.sources.bindings import Warehouse
 
 from conftest import SF_SMALL
@@ -65,3 +65,78 @@ def test_cart_details_and_reservations_stay_beneath_their_joins(spark, no_broadc
     whole = cart.cart_bookings(wh.reservation_booking, wh.users, wh.reservation_booking_detail, wh.order_group_reservation, wh.uc_orders,
                                wh.products_master_iid, wh.size_scales, wh.product_prices, registry.CART_LO, registry.CART_HI)
     assert rows(got) == rows(whole) and got.count() > 0
+
+
+SCANS = "Relation [l_orderkey"
+
+
+def beneath(text, scan):
+    """Whether each scan of lines is the left side of a semi-join that comes before any other join."""
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    lines, found = text.splitlines(), []
+    for i, x in enumerate(lines):
+        if scan in x:
+            above, d = [], depth(x)
+            for y in reversed(lines[:i]):
+                if depth(y) < d:
+                    d = depth(y)
+                    above.append(y)
+            found.append("LeftSemi" in next((y for y in above if "Join " in y), ""))
+    return found
+
+
+def test_lines_without_add_on_stay_beneath_the_joins(spark, no_broadcast, monkeypatch):  # noqa: F811
+    plans = []
+    monkeypatch.setattr(reservations, "stage", lambda df: plans.append(optimized(df)) or stage(df))
+    got = registry.q_reservation_extras(spark, SF_SMALL)
+    assert beneath(optimized(got), SCANS) == [True]
+    assert len(plans) == 1 and beneath(plans[0], SCANS).count(True) == 2  # the pointers and the bookings; add-ons are wanted
+    wh = registry._wh(spark, SF_SMALL)
+    whole = reservations.reservation_extras(wh.order_group_reservation, wh.fulfillment, wh.fulfillment_seq, wh.reservation_booking, wh.products_iid,
+                                            wh.products, reservations.unit_barcode_lookup(wh.inventory_unit), registry._unit_loc(wh))
+    assert rows(got) == rows(whole) and got.count() > 0
+
+
+def test_fact_leaves_lines_out_beneath_their_joins(spark, no_broadcast, monkeypatch):  # noqa: F811
+    plans = []
+    monkeypatch.setattr(reservations, "stage", lambda df: plans.append(optimized(df)) or stage(df))
+    registry.q_reservation_fact(spark, SF_SMALL)
+    assert all(all(beneath(p, SCANS)) for p in plans)
+
+
+def test_ledger_is_of_the_asked_orders_and_written_once(spark, no_broadcast, monkeypatch):  # noqa: F811
+    plans = []
+    monkeypatch.setattr(order_issues, "stage", lambda df: plans.append(optimized(df)) or stage(df))
+    got = registry.q_order_issues(spark, SF_SMALL)
+    assert len(plans) == 1 and beneath(plans[0], SCANS) == [True, False]  # the ledger; its confirmations have no order
+    wh = registry._wh(spark, SF_SMALL)
+    whole = order_issues.order_issues(wh.ogr_po, wh.yp_autumn_full, wh.order_group_reservation, wh.financial_line_item,
+                                      wh.fli_status_history, registry._refund_view(wh))
+    assert rows(got) == rows(whole) and got.count() > 0
+
+
+def test_both_branches_of_problem_orders_share_their_add_ons(spark, monkeypatch):
+    asked = []
+    keep = reservations.reservation_extras
+    monkeypatch.setattr(registry.rs, "reservation_extras", lambda *a: asked.append(1) or keep(*a))
+    got = registry.q_problem_orders(spark, SF_SMALL)
+    assert len(asked) == 1
+    parts = registry.q_problem_orders_classic(spark, SF_SMALL).unionByName(registry.q_problem_orders_subscription(spark, SF_SMALL))
+    assert rows(got) == rows(parts.distinct()) and len(asked) == 3
+
+
+def test_three_bits_of_a_key_let_few_others_pass(spark):
+    held = keybits.key_bits(spark.range(10000), "id")
+    assert held.bits == 1 << 18 and keybits.may_meet(spark.range(10000), "id", held).count() == 10000
+    assert keybits.may_meet(spark.range(10000, 110000), "id", held).count() < 1000  # one bit: over 3000
+
+
+def test_a_stage_leaves_no_shuffle_files(spark):
+    def shuffled():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks().mkString(" ")
+        return {b for b in blocks.split() if b.startswith("shuffle_")}
+    before, key = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key)
+    made = stage(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+    assert not shuffled() - before and spark.conf.get(key) == was
+    assert made.count() == 7
